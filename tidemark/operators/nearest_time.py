@@ -1,0 +1,59 @@
+"""Pairing records of two tables with the nearest in time of the same entity."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.runtime import materialize
+
+
+def nearest_in_time(left: DataFrame, right: DataFrame, tolerance: int, *, rings: int = 3) -> DataFrame:
+    """For each left row the right row of the same entity with the least |time difference|.
+
+    Both frames have ``entity`` (any type), ``at`` (long, e.g. ms) and ``id``;
+    other columns are ignored. Expanding-ring join: time is cut into buckets of
+    ``tolerance / 2**(rings-1)``; a left row meets the right rows of its own and
+    the two adjacent buckets, and a match no farther than one bucket width is
+    provably the nearest, because everything outside those buckets is farther.
+    Left rows without such a match go on to buckets of double width, up to
+    ``tolerance``, whose ring is exact for whatever is left.
+
+    Returns ``id, match_id, gap`` with one row per left row; ``match_id`` and
+    ``gap`` are null where nothing lies within ``tolerance`` (inclusive). Of two
+    equally near rows the earlier wins, then the smaller id. Rows with a null
+    entity or time match nothing; a left row with a null id is kept. Repeated
+    left ids are answered each on their own time; equal rows collapse.
+
+    Scale: the join key is (entity, bucket), so even an entity with a third of
+    all rows is spread over its time span, and right rows of one entity and
+    instant are reduced to one before the shuffle.
+    """
+    width = max(1, -(-tolerance // 2 ** (rings - 1)))
+    todo = left.select("id", "entity", F.col("at").cast("long").alias("at")).distinct()
+    pool = right.where(F.col("entity").isNotNull() & F.col("at").isNotNull() & F.col("id").isNotNull()).groupBy("entity", F.col("at").cast("long").alias("at_r")).agg(F.min("id").alias("id_r"))
+    answered: list[DataFrame] = []
+    while True:
+        last = width >= tolerance
+        found = _ring(todo, pool, min(width, tolerance), tolerance if last else width)
+        if last:
+            answered.append(found)
+            break
+        found = materialize(found, "ring")
+        answered.append(found.where("match_id IS NOT NULL"))
+        todo = found.where("match_id IS NULL").select("id", "entity", "at")
+        width *= 2
+    result = answered[0]
+    for part in answered[1:]:
+        result = result.unionByName(part)
+    return result.select("id", "match_id", "gap")
+
+
+def _ring(todo: DataFrame, pool: DataFrame, width: int, reach: int) -> DataFrame:
+    bucket = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
+    asked = todo.withColumn("_b", F.explode_outer(F.when(F.col("entity").isNotNull() & F.col("at").isNotNull(), F.array(*[bucket("at") + i for i in (-1, 0, 1)]))))
+    gap = F.abs(F.col("at") - F.col("at_r"))
+    near = gap <= reach
+    met = asked.join(pool.withColumn("_b", bucket("at_r")), ["entity", "_b"], "left")
+    best = F.min(F.when(near, F.struct(gap.alias("gap"), F.col("at_r"), F.col("id_r"))))
+    return met.groupBy("id", "entity", "at").agg(best.alias("_m")).select("id", "entity", "at", F.col("_m.id_r").alias("match_id"), F.col("_m.gap").alias("gap"))
