@@ -16,6 +16,7 @@ SAMPLE = 16_384  # vectors the partitioner and its classifier are fitted on, at
 PART_ROWS = 2_000  # rows a part should have
 BLOCK_ITEMS = 4_096  # items of one task's block
 BLOCK_QUERIES = 16_384  # queries of one task's block
+GRAPH_BLOCK = 128  # sampled vectors compared at once with the sample, on the driver
 
 
 @dataclass
@@ -74,8 +75,8 @@ def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None
     if rows == 0:
         return vectors.sparkSession.createDataFrame([], schema)
     share = min(1.0, sample * 0.97 / rows)
-    chosen = usable.where(F.pmod(F.xxhash64(F.lit(seed), "index"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(sample).select("vector").toPandas()
-    x = _unit(np.array(chosen["vector"].tolist(), dtype=np.float32)) if len(chosen) else np.zeros((0, lengths["d"]), np.float32)
+    chosen = usable.where(F.pmod(F.xxhash64(F.lit(seed), "index"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(sample).select("vector").toArrow()
+    x = _unit(chosen["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, lengths["d"]))
     parts = int(max(1, min(rows // part_rows, len(x) // 64)))
     router = fit_router(x, parts, seed)
     ask = F.expr(queries) if queries else F.lit(True)
@@ -157,16 +158,16 @@ def fit_router(x: np.ndarray, parts: int, seed: int, *, graph_k: int = 10, hidde
     dim = x.shape[1]
     if parts <= 1:
         return Router(np.zeros((dim, 1), np.float32), np.zeros(1, np.float32), np.zeros((1, 1), np.float32), np.zeros(1, np.float32))
-    graph = np.concatenate([_block_knn(x, s, graph_k) for s in range(0, len(x), 2048)])
+    graph = np.concatenate([_block_knn(x, s, graph_k) for s in range(0, len(x), GRAPH_BLOCK)])
     labels = balanced_parts(x, graph, parts, seed)
     return _train(x, labels, parts, hidden, epochs, seed)
 
 
 def _block_knn(x: np.ndarray, start: int, k: int) -> np.ndarray:
-    s = x[start : start + 2048] @ x.T
-    s[np.arange(len(s)), np.arange(start, start + len(s))] = -2
+    s = -(x[start : start + GRAPH_BLOCK] @ x.T)
+    s[np.arange(len(s)), np.arange(start, start + len(s))] = 2
     k = min(k, len(x) - 1)
-    return np.argpartition(-s, k - 1, axis=1)[:, :k]
+    return np.argpartition(s, k - 1, axis=1)[:, :k].copy()
 
 
 def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, seed: int, *, slack: float = 0.1, rounds: int = 12) -> np.ndarray:
