@@ -188,12 +188,12 @@ def _merge(key: tuple, table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(planes)])
 
 
-def _filters(parts: DataFrame) -> dict[str, np.ndarray]:
-    """Filters of all sets at the driver: a few arrays of fixed size."""
+def _filters(parts: DataFrame, wanted: tuple[str, ...]) -> dict[str, np.ndarray]:
+    """The wanted filters of all sets at the driver: a few arrays of fixed size."""
     group = F.when(F.col("kind").startswith("count"), F.col("kind")).otherwise(F.regexp_replace("kind", "[0-9]$", ""))
     merged = parts.withColumn("name", group).groupBy("name", "chunk").applyInArrow(_merge, FILTER_SCHEMA)
     out: dict[str, np.ndarray] = {}
-    for kind, chunk, data in merged.collect():
+    for kind, chunk, data in merged.where(F.col("kind").isin(list(wanted))).collect():
         if kind.startswith("count"):
             out[kind] = np.frombuffer(bytes(data), np.int64)
         else:
@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "record_id", text: str = "tex
         if keys:
             yield _rows(list(_planes("word", np.concatenate(keys))))
 
-    met = _filters(classes.mapInArrow(count_words, FILTER_SCHEMA))
+    met = _filters(classes.mapInArrow(count_words, FILTER_SCHEMA), ("word2",))
     if not met:
         empty = docs.sparkSession.createDataFrame([], "set_a long, set_b long, jaccard double")
         return members, empty
@@ -277,7 +277,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "record_id", text: str = "tex
         if len(fulls):
             yield _rows([*_planes("full", fulls), *_planes("cut", cuts), *counts])
 
-    met = _filters(classes.mapInArrow(count_entries, FILTER_SCHEMA))
+    met = _filters(classes.mapInArrow(count_entries, FILTER_SCHEMA), ("full1", "full2", "cut1", "count_full", "count_cut"))
     if not met:
         return members, docs.sparkSession.createDataFrame([], "set_a long, set_b long, jaccard double")
     none = np.zeros(1 << FILTER_BITS - 3, np.uint8)
