@@ -56,13 +56,18 @@ def smpp_canonical(raw: DataFrame) -> DataFrame:
     """Canonical messages of raw SMPP requests, with their part numbers.
 
     Header parts come before SAR parts. Undecodable rows are kept with empty
-    text and the flag. Nulls stay null; ``sender_id`` takes ``<NA>`` for a null
-    originator only where asked for by windows, here it is null.
+    text and the flag. Nulls stay null and blank parties become null; so is ``sender_id``
+    then, for which windows put ``<NA>``.
     """
     require(raw, ["reference", "smpp_operation", "a_number", "b_number", "content", "dcs", "esm_class", "time_stamp"])
     rows = with_text(decode_payloads(keep_smpp(raw).withColumn("dcs", unsigned(F.col("dcs"))), "SMPP"))
     numbered = parts_of(rows, F.coalesce("udh_ref", "sar_ref"), F.coalesce("udh_total", "sar_msg_parts"), F.coalesce("udh_part", "sar_msg_part"))
-    return _canonical(numbered, "SMPP", F.col("reference"), F.col("a_number"), F.col("b_number"), parse_time(F.col("time_stamp")), F.lit(None).cast("string"), F.lit(False))
+    return _canonical(numbered, "SMPP", F.col("reference"), _known(F.col("a_number")), _known(F.col("b_number")), parse_time(F.col("time_stamp")), F.lit(None).cast("string"), F.lit(False))
+
+
+def _known(number: Column) -> Column:
+    """A party's number; null where it is blank."""
+    return F.when(F.trim(number) != "", number)
 
 
 def latest_routing(raw: DataFrame, key: str = "imsi") -> DataFrame:
