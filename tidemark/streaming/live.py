@@ -49,7 +49,7 @@ def sender_features(stream: DataFrame, *, late: str = "10 minutes", short: int =
     a micro-batch are taken in order of time and ``seq``; a row that comes after
     later ones were answered sees those no later than itself only.
     """
-    keyed = stream.withWatermark("timestamp", late).where("timestamp IS NOT NULL").select("seq", F.coalesce("sender", F.lit("<NA>")).alias("sender"), F.unix_micros(F.col("timestamp").cast("timestamp")).alias("at"))
+    keyed = stream.withWatermark("timestamp", late).where("timestamp IS NOT NULL").select(F.col("seq").cast("string").alias("seq"), "timestamp", F.coalesce("sender", F.lit("<NA>")).alias("sender"), F.unix_micros(F.col("timestamp").cast("timestamp")).alias("at"))
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         times, n, total, squares, first = state.get if state.exists else ([], 0, 0.0, 0.0, None)
