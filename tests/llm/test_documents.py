@@ -100,12 +100,20 @@ def brute_share(text, n=5):
     return (len(grams) - len(set(grams))) / len(grams) if grams else None
 
 
+#: words that public vocabularies hold whole, so that almost every token differs
+DIVERSE = (
+    "time year people way day man thing woman life child world school state family student group country problem hand part place case week company system program question work government number night point home water room mother area money story fact month lot right study book eye job word business issue side kind head house service friend father power hour game line end member law car city community name president team minute idea body information back parent face others level office door health person art war history party result change morning reason research girl guy moment air teacher force education"
+).split()
+
+
 def texts():
     rng = random.Random(5)
     out = [None, "", " \n", "one two three", "a " * 200, "spam and eggs " * 40, "é" * 3000, "x" * 20_000, "中文 " * 100]
     for share in range(0, 10):
         unique = [f"word{rng.randrange(10**6)}" for _ in range(100)]
         out.append(" ".join(unique + unique[: share * 10]))
+        diverse = [w for w in DIVERSE if rng.random() < 0.9]
+        out.append(" ".join(diverse + diverse[: share * 4]))
         out.append("; ".join(rng.choice(["the", "and", "of", "to", "cat"]) for _ in range(120)))
     return out
 

@@ -13,7 +13,8 @@ from tidemark.llm.tokens import TOKENIZERS, piece_bpe, piece_kinds
 from tidemark.llm.words import words
 from tidemark.runtime import broadcast_if_small
 
-FIELDS = "n_words long, repeated_share double, tokens long, chars_per_token double, byte_share double, token_entropy double, entropy_room double, in_band boolean, script string"
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+FIELDS = "n_words long, repeated_share double, tokens long, chars_per_token double, byte_share double, token_entropy double, block_entropy double, entropy_room double, in_band boolean, script string"
 
 
 def repetition(docs: DataFrame, key: str = "doc_id", *, n: int = 5, reject_at: float = 0.30, tokenizers: str = TOKENIZERS) -> DataFrame:
@@ -28,18 +29,20 @@ def repetition(docs: DataFrame, key: str = "doc_id", *, n: int = 5, reject_at: f
     * of the whole text under a public vocabulary: ``tokens``,
       ``chars_per_token``, ``byte_share`` (tokens that are byte fallbacks) and
       the ``script`` of most letters (fixed names; null without letters);
-    * ``token_entropy`` in bits of the document's words under the same
-      vocabulary, the ``entropy_room`` it could have at most if ``reject_at``
-      of its sequences were repeats, and ``in_band`` = it fits.
-
-    The band is exact, not learnt. Words are tokenised one by one, so equal
-    word sequences have equal tokens. Let the tokens of the words that start a
-    sequence number T and the sequences S. If at least ``reject_at * S``
-    sequences repeat an earlier one, then the tokens take at most
-    T - reject_at * S different (sequence, place) pairs, and the entropy of a
-    token drawn at random is at most the logarithm of that. A document above
-    that band cannot be a case in any language or script, because the bound is
-    taken from its own counts; one inside it is counted exactly, by hashes of
+    * ``token_entropy`` of that in bits; ``block_entropy``, the same of blocks
+      of ``n`` consecutive tokens of the document's words, the ``entropy_room``
+      it could have at most if ``reject_at`` of its word sequences were
+      repeats, and ``in_band`` = it fits.
+
+    The rejection band is exact, not learnt. Words are tokenised one by one, so
+    equal word sequences have equal tokens, and as a word has at least one
+    token, the ``n`` tokens from any place in a sequence's first word lie
+    inside the sequence. Let the words that start a sequence have T tokens, and
+    let there be S sequences. If at least ``reject_at * S`` of them repeat an
+    earlier one, then the T blocks take at most T - reject_at * S different
+    values, and their entropy is at most the logarithm of that. A document
+    above its band cannot be a case in any language or script, because the
+    bound is taken from its own counts; one inside it is counted exactly, by
     its word sequences. Everything is one narrow pass: no shuffle, no state
     beyond one Arrow batch, whole texts however long.
     """
@@ -115,23 +118,27 @@ def _measure(batches: Iterator[pa.RecordBatch], key: str, n: int, reject_at: flo
         for text, joined in zip(texts, batch.column("ws").to_pylist()):
             ws = joined.split() if joined else []
             ids = np.array(sp.encode(text), dtype=np.int64) if text else np.zeros(0, np.int64)
-            share = room = h = fits = None
+            share = room = blocks = fits = None
             if len(ws) >= n:
                 if len(memo) > 200_000:
                     memo.clear()
-                starts = ws[: len(ws) - n + 1]
-                for w in starts:
+                for w in ws:
                     if w not in memo:
                         memo[w] = sp.encode(w)
-                flat = np.fromiter((t for w in starts for t in memo[w]), dtype=np.int64)
-                h = entropy(flat)
-                room = float(np.log2(max(1.0, len(flat) - reject_at * len(starts))))
-                fits = h <= room + 1e-9
+                started = len(ws) - n + 1
+                flat = np.fromiter((t for w in ws for t in memo[w]), dtype=np.uint64)
+                heads = sum(len(memo[w]) for w in ws[:started])
+                block = np.zeros(heads, np.uint64)
+                for j in range(n):  # equal blocks have equal sums; a collision only keeps a document in its band
+                    block = block * MULTIPLIER + flat[j : j + heads]
+                blocks = entropy(block)
+                room = float(np.log2(max(1.0, heads - reject_at * started)))
+                fits = blocks <= room + 1e-9
                 share = repeated_share(ws, n) if fits else None
-            values = (len(ws), share, len(ids), len(text) / len(ids) if len(ids) else None, float(is_byte[ids].mean()) if len(ids) else None, h, room, fits, script_of(text) if text else None)
+            values = (len(ws), share, len(ids), len(text) / len(ids) if len(ids) else None, float(is_byte[ids].mean()) if len(ids) else None, entropy(ids) if len(ids) else None, blocks, room, fits, script_of(text) if text else None)
             for column, v in zip(out.values(), values):
                 column.append(v)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(key), batch.column("lang"), pa.array(out["n_words"], pa.int64()), pa.array(out["repeated_share"], pa.float64()), pa.array(out["tokens"], pa.int64()), pa.array(out["chars_per_token"], pa.float64()), pa.array(out["byte_share"], pa.float64()), pa.array(out["token_entropy"], pa.float64()), pa.array(out["entropy_room"], pa.float64()), pa.array(out["in_band"], pa.bool_()), pa.array(out["script"], pa.string())],
+            [batch.column(key), batch.column("lang"), pa.array(out["n_words"], pa.int64()), pa.array(out["repeated_share"], pa.float64()), pa.array(out["tokens"], pa.int64()), pa.array(out["chars_per_token"], pa.float64()), pa.array(out["byte_share"], pa.float64()), pa.array(out["token_entropy"], pa.float64()), pa.array(out["block_entropy"], pa.float64()), pa.array(out["entropy_room"], pa.float64()), pa.array(out["in_band"], pa.bool_()), pa.array(out["script"], pa.string())],
             names=[key, "lang", *out],
         )
