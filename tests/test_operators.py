@@ -310,3 +310,38 @@ def test_samples(spark):
     n, e = s.count(), s.where("evaluated").count()
     assert 1200 < n < 1600 and 480 < e < 620
     assert files.sample_n(df, "id", 7).count() == 7 and files.head(df, ["id"], 3).count() == 3
+
+
+def test_exact_quantiles(spark):
+    from tidemark.operators.ranking import exact_quantiles
+
+    rng = np.random.default_rng(4)
+    data = {"a": rng.integers(0, 9, 57).astype(float), "b": rng.standard_normal(100), None: np.array([3.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs] + [("a", None)], "g string, v double")
+    got = {(r["g"], r["p"]): r["quantile"] for r in exact_quantiles(df, "v", [0.0, 0.5, 0.9, 0.995, 1.0], ["g"]).collect()}
+    assert len(got) == 15 and all(got[g, p] == pytest.approx(np.quantile(data[g], p)) for g, p in got)
+    assert exact_quantiles(df.where("g = 'b'"), "v", [0.25]).first()["quantile"] == pytest.approx(np.quantile(data["b"], 0.25))
+    assert exact_quantiles(df.where("v > 99"), "v", [0.5]).count() == 0
+
+
+def test_evaluation(spark):
+    from tidemark.operators import evaluation as ev
+
+    df = spark.createDataFrame([(i, int(i >= 50), float(i), float(i % 7), "s" if i % 2 else None) for i in range(100)], "id int, y int, score double, noise double, g string")
+    p = ev.plausibility(df).first()
+    assert (p["mean_flagged"], p["mean_clean"], p["n_flagged"]) == (74.5, 24.5, 50)
+    assert {r["bin"]: r["lift"] for r in ev.lift(df).collect()} == {i: 2.0 if i >= 5 else 0.0 for i in range(10)}
+    assert {tuple(r) for r in ev.redundant_groups(df, ["id", "score", "noise"]).collect()} == {("id", "id"), ("score", "id"), ("noise", "noise")}
+    assert ev.interior_correlation(df, "score", "id", "g").first()["rho"] == pytest.approx(1.0)
+    assert {r["segment"]: r["average_precision"] for r in ev.by_source(df, "g").collect()} == {"all": 1.0, None: 1.0, "s": 1.0}
+    assert ev.split_is_justified({"a": 0.5, "b": 0.5}, {"a": 0.56, "b": 0.51}) == {"a": True, "b": False}
+
+
+def test_encoder(spark):
+    from tidemark.ml.encoder import approximate_pairs, encode_distinct
+
+    df = spark.createDataFrame([(0, "hello world"), (1, "hello world"), (2, "Hello worlds"), (3, None), (4, ""), (5, "zebra")], "key int, text string")
+    rows = {r["key"]: np.array(r["vector"]) for r in encode_distinct(df, dim=64).collect()}
+    assert len(rows) == 6 and np.allclose(rows[0], rows[1]) and not rows[3].any() and rows[0] @ rows[2] > 0.7 > rows[0] @ rows[5]
+    pairs = {(r["a"], r["b"]) for r in approximate_pairs(encode_distinct(df.where("length(text) > 0"), dim=64), 0.7, buckets=2.0).collect()}
+    assert {(0, 1), (0, 2), (1, 2)} == pairs

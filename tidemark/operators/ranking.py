@@ -27,6 +27,23 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, str]) -> DataFrame:
     return joined.withColumns({o: F.col(o) + F.col(f"_b_{o}") for o in sums}).drop("_p", *[f"_b_{o}" for o in sums])
 
 
+def exact_quantiles(df: DataFrame, value: str, ps: list[float], by: list[str] | None = None) -> DataFrame:
+    """``*by, p, quantile``: exact quantiles, interpolated between the two nearest ranks, per group.
+
+    Values are counted first and then prefix-summed over (group, value), so no
+    group's values meet in one task or one buffer. Null values do not count.
+    """
+    by = by or []
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    summed = prefix_sums(counts, [*by, "_v"], {"_upto": "_c"})
+    spans = summed.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_c")).alias("_from"), F.sum("_c").alias("_n"))
+    places = spans.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in ps]))).withColumn("_at", F.col("p") * (F.col("_n") - 1))
+    wanted = places.withColumn("_rank", F.explode(F.array(F.floor("_at"), F.ceil("_at")))).withColumn("_side", F.col("_rank") > F.col("_at"))
+    joined = summed.alias("s").join(F.broadcast(wanted).alias("w"), [F.col(f"s.{b}").eqNullSafe(F.col(f"w.{b}")) for b in by] or F.lit(True)).where((F.col("_upto") - F.col("_c") - F.col("_from") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto") - F.col("_from")))
+    ends = joined.groupBy(*[F.col(f"w.{b}").alias(b) for b in by], "p", "_at").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    return ends.select(*by, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))).alias("quantile"))
+
+
 def average_rank(df: DataFrame, value: str, out: str = "rank") -> DataFrame:
     """The mean of the ranks that equal values share, as a rank correlation needs; null for null."""
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_c"))

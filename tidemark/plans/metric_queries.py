@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import evaluation as ev
 from tidemark.operators import ranking as r
 from tidemark.plans.registry import Registry
 from tidemark.sources.tables import table
@@ -125,16 +126,17 @@ def metrics_by_segment(spark: SparkSession, base: str) -> DataFrame:
 )
 def describe_by_label(spark: SparkSession, base: str) -> DataFrame:
     """Count, moments and exact quantiles per label."""
-    q = F.col("l_quantity").cast("double")
-    at = lambda p: F.percentile(q, p)
-    return table(spark, base, "lineitem").groupBy(F.col("l_returnflag").alias("label")).agg(F.count(q).alias("n"), F.round(F.avg(q), 6).alias("mean"), F.round(F.stddev_samp(q), 6).alias("std"), F.min(q).alias("min"), at(0.5).alias("p50"), at(0.9).alias("p90"), at(0.99).alias("p99"), F.max(q).alias("max"))
+    items = table(spark, base, "lineitem").select(F.col("l_returnflag").alias("label"), F.col("l_quantity").cast("double").alias("q"))
+    stats = items.groupBy("label").agg(F.count("q").alias("n"), F.round(F.avg("q"), 6).alias("mean"), F.round(F.stddev_samp("q"), 6).alias("std"), F.min("q").alias("min"), F.max("q").alias("max"))
+    at = r.exact_quantiles(items, "q", [0.5, 0.9, 0.99], ["label"]).groupBy("label").pivot("p", [0.5, 0.9, 0.99]).agg(F.first("quantile")).toDF("label", "p50", "p90", "p99")
+    return stats.join(at, "label")
 
 
 @REGISTRY.add("percentile_threshold", "WITH t AS (SELECT quantile_cont(o_totalprice::DOUBLE, 0.995) AS t FROM orders) SELECT o_orderkey FROM orders, t WHERE o_totalprice >= t.t")
 def percentile_threshold(spark: SparkSession, base: str) -> DataFrame:
     """Rows at or above an exact percentile of their score."""
     orders = table(spark, base, "orders")
-    limit = orders.agg(F.percentile(F.col("o_totalprice").cast("double"), 0.995).alias("t"))
+    limit = r.exact_quantiles(orders, "o_totalprice", [0.995]).select(F.col("quantile").alias("t"))
     return orders.join(F.broadcast(limit)).where("o_totalprice >= t").select("o_orderkey")
 
 
@@ -158,3 +160,49 @@ def class_balance(spark: SparkSession, base: str) -> DataFrame:
 def run_totals(spark: SparkSession, base: str) -> DataFrame:
     """Totals of each source: rows, messages, failures and the latest time, as a retraining check needs."""
     return table(spark, base, "canonical_row").groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("record_id").alias("messages"), F.count_if("text_decode_failed").alias("failed"), F.max("timestamp").alias("latest"))
+
+
+@REGISTRY.add(
+    "plausibility_means",
+    f"""WITH {SQL_S} SELECT round(avg(score), 4) AS mean_score, round(avg(score) FILTER (y = 1), 4) AS mean_flagged, round(avg(score) FILTER (y = 0), 4) AS mean_clean, count(*) FILTER (y = 1) AS n_flagged, count(*) FILTER (y = 0) AS n_clean FROM s""",
+)
+def plausibility_means(spark: SparkSession, base: str) -> DataFrame:
+    """Mean scores of all, flagged and clean rows."""
+    return ev.plausibility(scored(spark, base)).select(*[F.round(c, 4).alias(c) for c in ("mean_score", "mean_flagged", "mean_clean")], "n_flagged", "n_clean")
+
+
+@REGISTRY.add(
+    "label_lift",
+    f"""WITH {SQL_S}, k AS (SELECT y, row_number() OVER (ORDER BY score, id) AS i, count(*) OVER () AS n FROM s), b AS (SELECT (i - 1) * 10 // n AS bin, y FROM k)
+SELECT bin, count(*) AS rows, round(avg(y) / (SELECT avg(y) FROM s), 6) AS lift FROM b GROUP BY bin""",
+)
+def label_lift(spark: SparkSession, base: str) -> DataFrame:
+    """How much more frequent positives are in each tenth of the scores."""
+    return ev.lift(scored(spark, base)).select("bin", "rows", F.round("lift", 6).alias("lift"))
+
+
+@REGISTRY.add(
+    "boundedness",
+    """WITH x AS (SELECT l_returnflag AS g, l_quantity AS a, l_extendedprice AS b FROM lineitem), m AS (SELECT min(a) AS a0, max(a) AS a1 FROM x), i AS (SELECT x.* FROM x, m WHERE a > a0 AND a < a1),
+k AS (SELECT g, rank() OVER (PARTITION BY g ORDER BY a) + (count(*) OVER (PARTITION BY g, a) - 1) / 2.0::DOUBLE AS ra, rank() OVER (PARTITION BY g ORDER BY b) + (count(*) OVER (PARTITION BY g, b) - 1) / 2.0::DOUBLE AS rb FROM i),
+s AS (SELECT g, corr(ra, rb) AS rho, count(*) AS n FROM k GROUP BY g) SELECT round(sum(rho * n) / sum(n), 6) AS rho, sum(n)::BIGINT AS rows FROM s""",
+)
+def boundedness(spark: SparkSession, base: str) -> DataFrame:
+    """Rank correlation among rows off a column's bounds, weighted over strata."""
+    rows = table(spark, base, "lineitem").select(F.col("l_returnflag").alias("g"), F.col("l_quantity").alias("a"), F.col("l_extendedprice").alias("b"))
+    return ev.interior_correlation(rows, "a", "b", "g").select(F.round("rho", 6).alias("rho"), "rows")
+
+
+@REGISTRY.add("last_value_per_group", "SELECT o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey))::DOUBLE AS last_price FROM orders GROUP BY o_custkey")
+def last_value_per_group(spark: SparkSession, base: str) -> DataFrame:
+    """The last value of each key's series."""
+    return table(spark, base, "orders").groupBy("o_custkey").agg(F.max_by(F.col("o_totalprice").cast("double"), F.struct("o_orderdate", "o_orderkey")).alias("last_price"))
+
+
+@REGISTRY.add(
+    "redundant_groups",
+    """SELECT * FROM (VALUES ('l_discount', 'l_discount'), ('l_extendedprice', 'l_extendedprice'), ('l_quantity', 'l_extendedprice')) v(feature, grp)""",
+)
+def redundant_groups(spark: SparkSession, base: str) -> DataFrame:
+    """Columns grouped by strong rank correlation."""
+    return ev.redundant_groups(table(spark, base, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], 0.8)

@@ -154,3 +154,37 @@ def pattern_scores(spark: SparkSession, base: str) -> DataFrame:
     cold = F.col("age_days") == 0
     reasons = sc.reason_codes(md.logistic_contributions(model, columns), cold, F.coalesce("text", F.lit("")) == "", F.lit(False))
     return f.select(F.col("seq").alias("record_id"), F.round(md.logistic_score(model, columns), 4).alias("score"), F.array_join(reasons, ",").alias("reasons"))
+
+
+@REGISTRY.add("encode_texts")
+def encode_texts(spark: SparkSession, base: str) -> DataFrame:
+    """Messages with the vector of their text, as its number of non-zero parts; each text is encoded once."""
+    from tidemark.ml.encoder import encode_distinct
+    from tidemark.sources.tables import messages
+
+    m = messages(spark, base, "text")
+    return encode_distinct(m, dim=64).select("record_id", F.size(F.filter("vector", lambda x: x != 0)).alias("parts"))
+
+
+@REGISTRY.add("approximate_pairs")
+def approximate_pairs(spark: SparkSession, base: str) -> DataFrame:
+    """Similar embeddings by locality-sensitive hashing."""
+    from tidemark.ml.encoder import approximate_pairs as find
+
+    return find(table(spark, base, "embeddings"), 0.4, key="vec_id", vector="embedding", buckets=2.0, tables=6)
+
+
+@REGISTRY.add("dominance_ablation")
+def dominance_ablation(spark: SparkSession, base: str) -> DataFrame:
+    """How far anomaly scores follow each group of columns."""
+    from tidemark.operators.evaluation import dominance
+
+    return dominance(lines(spark, base), {"size": COLUMNS[:2], "rates": COLUMNS[2:]}, trees=20).select("left_out", F.round("rho", 4).alias("rho"))
+
+
+@REGISTRY.add("permutation_importance")
+def permutation_importance(spark: SparkSession, base: str) -> DataFrame:
+    """What average precision loses when a column is shuffled."""
+    df = lines(spark, base)
+    model = md.fit_logistic(df, COLUMNS)
+    return md.permutation_importance(df, md.logistic_score(model, COLUMNS), COLUMNS[:2]).select("feature", F.round("drop", 4).alias("drop"))
