@@ -17,7 +17,7 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 FIELDS = "n_words long, repeated_share double, tokens long, chars_per_token double, byte_share double, token_entropy double, block_entropy double, entropy_room double, in_band boolean, script string"
 
 
-def repetition(docs: DataFrame, key: str = "doc_id", *, n: int = 5, reject_at: float = 0.30, tokenizers: str = TOKENIZERS) -> DataFrame:
+def repetition(docs: DataFrame, key: str = "doc_id", *, n: int = 5, reject_at: float = 0.30, report: bool = True, tokenizers: str = TOKENIZERS) -> DataFrame:
     """The share of repeated content of each document, with its tokeniser fertility.
 
     ``docs`` has ``key``, ``text`` and perhaps ``lang``; other columns are
@@ -29,7 +29,8 @@ def repetition(docs: DataFrame, key: str = "doc_id", *, n: int = 5, reject_at: f
     * of the whole text under a public vocabulary: ``tokens``,
       ``chars_per_token``, ``byte_share`` (tokens that are byte fallbacks) and
       the ``script`` of most letters (fixed names; null without letters);
-    * ``token_entropy`` of that in bits; ``block_entropy``, the same of blocks
+    * ``token_entropy`` of that in bits (all of this only with ``report``, else
+      null: screening needs none of it); ``block_entropy``, the same of blocks
       of ``n`` consecutive tokens of the document's words, the ``entropy_room``
       it could have at most if ``reject_at`` of its word sequences were
       repeats, and ``in_band`` = it fits.
@@ -50,7 +51,7 @@ def repetition(docs: DataFrame, key: str = "doc_id", *, n: int = 5, reject_at: f
     kind = dict(docs.dtypes)[key]
     narrow = docs.select(F.col(key), "text", lang.alias("lang"), F.array_join(words(F.col("text")), " ").alias("ws"))
     schema = f"`{key}` {kind}, lang string, " + FIELDS
-    return narrow.mapInArrow(lambda batches: _measure(batches, key, n, reject_at, tokenizers), schema)
+    return narrow.mapInArrow(lambda batches: _measure(batches, key, n, reject_at, report, tokenizers), schema)
 
 
 #: First code points of scripts other than Latin, with their last ones; fixed values of the Unicode blocks.
@@ -109,7 +110,7 @@ def fertility_bands(measured: DataFrame, *, spread: float = 4.0) -> DataFrame:
     return full.withColumn("odd", F.array_compact(odd)).drop(*[f"{a}_{m}" for a in ("mid", "dev") for m in measures])
 
 
-def _measure(batches: Iterator[pa.RecordBatch], key: str, n: int, reject_at: float, folder: str) -> Iterator[pa.RecordBatch]:
+def _measure(batches: Iterator[pa.RecordBatch], key: str, n: int, reject_at: float, report: bool, folder: str) -> Iterator[pa.RecordBatch]:
     sp, is_byte = piece_bpe(folder), piece_kinds(folder)
     memo: dict[str, list[int]] = {}
     for batch in batches:
@@ -117,7 +118,7 @@ def _measure(batches: Iterator[pa.RecordBatch], key: str, n: int, reject_at: flo
         out: dict[str, list] = {f.split()[0]: [] for f in FIELDS.split(", ")}
         for text, joined in zip(texts, batch.column("ws").to_pylist()):
             ws = joined.split() if joined else []
-            ids = np.array(sp.encode(text), dtype=np.int64) if text else np.zeros(0, np.int64)
+            ids = np.array(sp.encode(text), dtype=np.int64) if text and report else np.zeros(0, np.int64)
             share = room = blocks = fits = None
             if len(ws) >= n:
                 if len(memo) > 200_000:
@@ -135,7 +136,7 @@ def _measure(batches: Iterator[pa.RecordBatch], key: str, n: int, reject_at: flo
                 room = float(np.log2(max(1.0, heads - reject_at * started)))
                 fits = blocks <= room + 1e-9
                 share = repeated_share(ws, n) if fits else None
-            values = (len(ws), share, len(ids), len(text) / len(ids) if len(ids) else None, float(is_byte[ids].mean()) if len(ids) else None, entropy(ids) if len(ids) else None, blocks, room, fits, script_of(text) if text else None)
+            values = (len(ws), share, len(ids) if report else None, len(text) / len(ids) if len(ids) else None, float(is_byte[ids].mean()) if len(ids) else None, entropy(ids) if len(ids) else None, blocks, room, fits, script_of(text) if text and report else None)
             for column, v in zip(out.values(), values):
                 column.append(v)
         yield pa.RecordBatch.from_arrays(
