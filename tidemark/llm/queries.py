@@ -27,13 +27,13 @@ def p3_found(spark: SparkSession, base: str) -> DataFrame:
 @REGISTRY.add("p3_search")
 def p3_search(spark: SparkSession, base: str) -> DataFrame:
     """The 10 most similar entries, at any cosine, of each entry whose index is divisible by 50."""
-    return nearest_vectors(table(spark, base, "loaded_corpus"), k=10, queries="index % 50 = 0").select("index", "neighbour", "rank", F.round("cosine", 6).alias("cosine"))
+    return nearest_vectors(table(spark, base, "loaded_corpus"), k=10, queries="index % 50 = 0", probes=16).select("index", "neighbour", "rank", F.round("cosine", 6).alias("cosine"))
 
 
 def _restored(spark: SparkSession, base: str) -> DataFrame:
     rows = table(spark, base, "smpp_transaction").where("smpp_operation = 4 AND app_dest_port IS NULL")
     records = once_per_key(rows, "reference", "create_date", ("content", "dcs"))
-    return restore_text(records, train_dictionaries(records, table(spark, base, "documents")))
+    return restore_text(records, train_dictionaries(rows, table(spark, base, "documents")))
 
 
 @REGISTRY.add("p6_found")
@@ -99,7 +99,7 @@ s AS (SELECT doc_id, any_value(n_words) AS n_words, (count(*) - count(DISTINCT g
 @REGISTRY.add("p9_found", SQL_REPEATS + "SELECT doc_id FROM s WHERE n_words >= 50 AND repeated_share >= 0.3")
 def p9_found(spark: SparkSession, base: str) -> DataFrame:
     """Documents of at least 50 words in which at least 0.30 of the five-word sequences are repeats."""
-    return repetition(table(spark, base, "documents")).where("doc_id IS NOT NULL AND n_words >= 50 AND in_band AND repeated_share >= 0.30").select("doc_id")
+    return repetition(table(spark, base, "documents"), report=False).where("doc_id IS NOT NULL AND n_words >= 50 AND in_band AND repeated_share >= 0.30").select("doc_id")
 
 
 @REGISTRY.add(
@@ -108,7 +108,7 @@ def p9_found(spark: SparkSession, base: str) -> DataFrame:
 )
 def p9_repetition(spark: SparkSession, base: str) -> DataFrame:
     """The share of repeated five-word sequences of every document, without the band's screening."""
-    return repetition(table(spark, base, "documents"), reject_at=0.0).where("doc_id IS NOT NULL").select("doc_id", "n_words", "repeated_share")
+    return repetition(table(spark, base, "documents"), reject_at=0.0, report=False).where("doc_id IS NOT NULL").select("doc_id", "n_words", "repeated_share")
 
 
 @REGISTRY.add("p9_fertility")
