@@ -20,7 +20,7 @@ def labelled(spark):
 
 def test_isolation_forest(spark):
     rng = np.random.default_rng(1)
-    x = np.vstack([rng.standard_normal((500, 2)), [[9, 0], [-9, 0]]])
+    x = np.vstack([rng.standard_normal((500, 2)), [[40, 0], [-40, 0]]])
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)] + [(999, None, 0.0)], "id int, a double, b double")
     model = forest.fit_isolation_forest(df, ["a", "b"], trees=50)
     scored = forest.score_isolation_forest(df, model)

@@ -201,8 +201,12 @@ def last_value_per_group(spark: SparkSession, base: str) -> DataFrame:
 
 @REGISTRY.add(
     "redundant_groups",
-    """SELECT * FROM (VALUES ('l_discount', 'l_discount'), ('l_extendedprice', 'l_extendedprice'), ('l_quantity', 'l_extendedprice')) v(feature, grp)""",
+    f"""WITH x AS (SELECT l_quantity AS a, l_extendedprice AS b, l_tax AS c, l_quantity + 10 * l_tax AS d FROM lineitem), k AS (SELECT {SQL_RANK('a')} AS a, {SQL_RANK('b')} AS b, {SQL_RANK('c')} AS c, {SQL_RANK('d')} AS d FROM x),
+p AS (SELECT 'a' AS u, 'b' AS v, corr(a, b) AS r FROM k UNION ALL SELECT 'a', 'c', corr(a, c) FROM k UNION ALL SELECT 'a', 'd', corr(a, d) FROM k UNION ALL SELECT 'b', 'c', corr(b, c) FROM k UNION ALL SELECT 'b', 'd', corr(b, d) FROM k UNION ALL SELECT 'c', 'd', corr(c, d) FROM k),
+e AS (SELECT u, v FROM p WHERE abs(r) >= 0.8 UNION SELECT v, u FROM p WHERE abs(r) >= 0.8 UNION SELECT unnest(['a', 'b', 'c', 'd']), unnest(['a', 'b', 'c', 'd']))
+SELECT e1.u AS feature, min(e3.v) AS grp FROM e e1 JOIN e e2 ON e2.u = e1.v JOIN e e3 ON e3.u = e2.v GROUP BY e1.u""",
 )
 def redundant_groups(spark: SparkSession, base: str) -> DataFrame:
     """Columns grouped by strong rank correlation."""
-    return ev.redundant_groups(table(spark, base, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], 0.8)
+    rows = table(spark, base, "lineitem").select(F.col("l_quantity").alias("a"), F.col("l_extendedprice").alias("b"), F.col("l_tax").alias("c"), (F.col("l_quantity") + 10 * F.col("l_tax")).alias("d"))
+    return ev.redundant_groups(rows, ["a", "b", "c", "d"], 0.8)
