@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import average_precision, prefix_sums, spearman
+from tidemark.runtime import broadcast_if_small
 
 
 def plausibility(scored: DataFrame) -> DataFrame:
@@ -39,7 +40,21 @@ def interior_correlation(df: DataFrame, a: str, b: str, stratum: str) -> DataFra
 
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rank correlations of all pairs of columns."""
+    """``a, b, rho``: rank correlations of all pairs of columns, each over the rows where both are known.
+
+    Without nulls every column is ranked once and all pairs come from one pass.
+    """
+    whole = df.select(*columns).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    if not any(whole):
+        ranked = df.select(*columns)
+        for c in columns:
+            counts = ranked.groupBy(c).agg(F.count(F.lit(1)).alias("_c"))
+            ranks = prefix_sums(counts, [c], {"_u": "_c"}).select(c, (F.col("_u") - (F.col("_c") - 1) / 2).alias(f"_r_{c}"))
+            ranked = ranked.join(broadcast_if_small(ranks), c)
+        pairs = list(combinations(columns, 2))
+        wide = ranked.agg(*[F.corr(f"_r_{a}", f"_r_{b}").alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+        cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_{i}").alias("rho")) for i, (a, b) in enumerate(pairs)])
+        return wide.select(F.explode(cells).alias("p")).select("p.*")
     out = None
     for a, b in combinations(columns, 2):
         one = spearman(df, a, b)

@@ -80,9 +80,8 @@ SELECT 'l_quantity' AS a, 'l_extendedprice' AS b, round(corr(k.a, k.b), 6) AS rh
 )
 def spearman_matrix(spark: SparkSession, base: str) -> DataFrame:
     """Rank correlations of three columns."""
-    items = table(spark, base, "lineitem")
-    pairs = [r.spearman(items, a, b) for a, b in (("l_quantity", "l_extendedprice"), ("l_quantity", "l_discount"), ("l_extendedprice", "l_discount"))]
-    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).select("a", "b", F.round("rho", 6).alias("rho"))
+    pairs = ev.correlation_pairs(table(spark, base, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    return pairs.select("a", "b", F.round("rho", 6).alias("rho"))
 
 
 @REGISTRY.add(
