@@ -35,12 +35,12 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     shingled = lambda df: df.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("ws") - n))).withColumn("sh", F.xxhash64(F.concat_ws(" ", F.slice("ws", F.col("at") + 1, n))))
     item_words = materialize(w(items.select("item_id", "text").distinct(), "item_id").select("item_id", "ws"), "items")
     item_shingles = shingled(item_words)
-    known = broadcast_if_small(item_shingles.select("sh").distinct(), 2_000_000)
+    known = broadcast_if_small(item_shingles.select("sh").distinct(), 1_000_000)
     doc_words = w(docs, "doc_id")
 
     # rarity of the items' shingles in the whole corpus
     rarity = materialize(_shingle_rows(doc_words, n).join(known, "sh", "left_semi").groupBy("sh").agg(F.count(F.lit(1)).alias("df")), "rarity")
-    ranked = item_shingles.join(broadcast_if_small(rarity, 2_000_000), "sh", "left").select("item_id", "ws", "at", "sh", F.coalesce("df", F.lit(0)).alias("df"))
+    ranked = item_shingles.join(broadcast_if_small(rarity, 500_000), "sh", "left").select("item_id", "ws", "at", "sh", F.coalesce("df", F.lit(0)).alias("df"))
     starts = F.sequence(F.greatest(F.lit(0), F.col("at") - per_window + 1), F.least(F.col("at"), F.size("ws") - run))
     windows = (
         ranked.select("item_id", "at", "sh", "df", F.explode(starts).alias("start"))
@@ -54,7 +54,7 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     totals = every.groupBy("item_id").agg(F.count_distinct("passage").alias("all_windows"))
     prefixes = materialize(windows.join(every, ["item_id", "start"]).select("item_id", "sh", "offset", "passage").distinct(), "prefixes")
 
-    met = _shingles_at(doc_words, n).join(broadcast_if_small(prefixes, 1_000_000), "sh")
+    met = _shingles_at(doc_words, n).join(broadcast_if_small(prefixes, 200_000), "sh")
     begin = F.col("at") - F.col("offset")
     hits = materialize(met.where((begin >= 0) & (begin + run <= F.col("n_words"))).select("doc_id", "item_id", begin.alias("begin"), "passage"), "hits")
     held = doc_words.join(broadcast_if_small(hits, 200_000), "doc_id").where(passages("begin") == F.col("passage"))
