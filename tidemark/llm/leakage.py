@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import words
 from tidemark.runtime import broadcast_if_small, materialize
 
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+SLICE_WORDS = 200_000  # words whose shingles leave Python at once, but for a single longer text
+
 
 def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int = 5) -> DataFrame:
     """Where a document contains ``run`` consecutive words of an item, whatever the layout.
@@ -32,14 +39,13 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     """
     per_window = run - n + 1
     w = lambda df, k: df.where(F.col(k).isNotNull()).select(k, words(F.col("text")).alias("ws")).where(F.size("ws") >= run)
-    shingled = lambda df: df.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("ws") - n))).withColumn("sh", F.xxhash64(F.concat_ws(" ", F.slice("ws", F.col("at") + 1, n))))
     item_words = materialize(w(items.select("item_id", "text").distinct(), "item_id").select("item_id", "ws"), "items")
-    item_shingles = shingled(item_words)
+    item_shingles = shingle_places(item_words, ["item_id", "ws"], n)
     known = broadcast_if_small(item_shingles.select("sh").distinct(), 1_000_000)
     doc_words = w(docs, "doc_id")
 
     # rarity of the items' shingles in the whole corpus
-    rarity = materialize(_shingle_rows(doc_words, n).join(known, "sh", "left_semi").groupBy("sh").agg(F.count(F.lit(1)).alias("df")), "rarity")
+    rarity = materialize(shingle_places(doc_words, [], n, different=True).select("sh").join(known, "sh", "left_semi").groupBy("sh").agg(F.count(F.lit(1)).alias("df")), "rarity")
     ranked = item_shingles.join(broadcast_if_small(rarity, 500_000), "sh", "left").select("item_id", "ws", "at", "sh", F.coalesce("df", F.lit(0)).alias("df"))
     starts = F.sequence(F.greatest(F.lit(0), F.col("at") - per_window + 1), F.least(F.col("at"), F.size("ws") - run))
     windows = (
@@ -54,7 +60,7 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     totals = every.groupBy("item_id").agg(F.count_distinct("passage").alias("all_windows"))
     prefixes = materialize(windows.join(every, ["item_id", "start"]).select("item_id", "sh", "offset", "passage").distinct(), "prefixes")
 
-    met = _shingles_at(doc_words, n).join(broadcast_if_small(prefixes, 200_000), "sh")
+    met = shingle_places(doc_words, ["doc_id"], n).join(broadcast_if_small(prefixes, 200_000), "sh")
     begin = F.col("at") - F.col("offset")
     hits = materialize(met.where((begin >= 0) & (begin + run <= F.col("n_words"))).select("doc_id", "item_id", begin.alias("begin"), "passage"), "hits")
     held = doc_words.join(broadcast_if_small(hits, 200_000), "doc_id").where(passages("begin") == F.col("passage"))
@@ -62,15 +68,42 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     return pairs.join(broadcast_if_small(totals), "item_id").select("item_id", "doc_id", "windows", (F.col("windows") / F.col("all_windows")).alias("share"))
 
 
-def _shingle_rows(doc_words: DataFrame, n: int) -> DataFrame:
-    """Each document's different shingles, one per row."""
-    starts = F.sequence(F.lit(0), F.size("ws") - n)
-    hashed = F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice("ws", i + 1, n))))
-    return doc_words.select(F.explode(F.array_distinct(hashed)).alias("sh"))
+def shingle_places(df: DataFrame, keep: list[str], n: int, *, different: bool = False) -> DataFrame:
+    """The ``n``-word shingles of ``ws``, one per row: ``*keep, n_words, at, sh``; with ``different`` each of a row once.
+
+    ``sh`` is a rolling combination of the words' 64-bit hashes, computed for
+    whole Arrow batches at a time and sent on in slices of bounded size. Equal
+    shingles have equal ``sh``; whoever needs certainty compares the words.
+    """
+    types = dict(df.dtypes)
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "n_words int, at int, sh long"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths = np.diff(b.column("_h").offsets.to_numpy()) if b.num_rows else np.zeros(0, np.int64)
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE_WORDS)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(lengths)]):
+                if hi > lo:
+                    yield _roll(b.slice(lo, hi - lo), keep, n, different)
+
+    return df.select(*keep, F.transform("ws", lambda w: F.xxhash64(w)).alias("_h")).mapInArrow(run, schema)
 
 
-def _shingles_at(doc_words: DataFrame, n: int) -> DataFrame:
-    """Each document's shingles with their places; the text itself is not copied along."""
-    starts = F.sequence(F.lit(0), F.size("ws") - n)
-    hashed = F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice("ws", i + 1, n))))
-    return doc_words.select("doc_id", F.size("ws").alias("n_words"), F.posexplode(hashed).alias("at", "sh"))
+def _roll(b: pa.RecordBatch, keep: list[str], n: int, different: bool) -> pa.RecordBatch:
+    lists = b.column("_h")
+    lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    words_ = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.arange(len(words_)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    starts = np.flatnonzero(at + n <= lengths[row])
+    sh = np.zeros(len(starts), np.uint64)
+    for j in range(n):
+        sh = sh * MULTIPLIER + words_[starts + j]
+    row, at = row[starts], at[starts]
+    if different and len(sh):
+        order = np.lexsort((sh, row))
+        first = np.concatenate([[True], (row[order][1:] != row[order][:-1]) | (sh[order][1:] != sh[order][:-1])])
+        order = order[first]
+        row, at, sh = row[order], at[order], sh[order]
+    pick = pa.array(row)
+    return pa.RecordBatch.from_arrays([*(b.column(c).take(pick) for c in keep), pa.array(lengths[row].astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(sh.view(np.int64))], names=[*keep, "n_words", "at", "sh"])
