@@ -63,7 +63,8 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     met = shingle_places(doc_words, ["doc_id"], n).join(broadcast_if_small(prefixes, 200_000), "sh")
     begin = F.col("at") - F.col("offset")
     hits = materialize(met.where((begin >= 0) & (begin + run <= F.col("n_words"))).select("doc_id", "item_id", begin.alias("begin"), "passage"), "hits")
-    held = doc_words.join(broadcast_if_small(hits, 200_000), "doc_id").where(passages("begin") == F.col("passage"))
+    suspects = docs.select("doc_id", "text").join(broadcast_if_small(hits, 200_000), "doc_id").withColumn("ws", words(F.col("text")))  # only texts that were hit are cut into words again
+    held = suspects.where((F.col("begin") + run <= F.size("ws")) & (passages("begin") == F.col("passage")))
     pairs = held.groupBy("item_id", "doc_id").agg(F.count_distinct("passage").alias("windows"))
     return pairs.join(broadcast_if_small(totals), "item_id").select("item_id", "doc_id", "windows", (F.col("windows") / F.col("all_windows")).alias("share"))
 
