@@ -129,3 +129,19 @@ def test_clusterings(spark, monkeypatch):
     with pytest.raises(ValueError, match="10"):
         clusters.suggest_eps(df, 4)
     assert clusters.hierarchy(np.zeros((0, 2)), 5).size == 0
+
+
+def test_cluster_queries_see_whole_vectors(spark, tmp_path):
+    from tidemark.plans import model_queries as q
+
+    rng = np.random.default_rng(4)
+    x = 0.01 * rng.standard_normal((60, 64))
+    x[:30, 6:] += 1.0  # two groups that agree in their first six numbers
+    spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    for query in (q.dbscan, q.hdbscan):
+        found = {int(r["key"]): r["cluster"] for r in query(spark, str(tmp_path)).collect()}
+        noise = {None, -1}
+        one, two = {found[i] for i in range(30)} - noise, {found[i] for i in range(30, 60)} - noise
+        assert one and two and not one & two
+    d = np.sort(np.linalg.norm(x[:, None] - x[None], axis=2), axis=1)[:, 4]
+    assert abs(q.kdistance_eps_whole(spark, str(tmp_path)).first()["eps"] - np.percentile(d, 90)) < 1e-4
