@@ -16,6 +16,7 @@ SAMPLE = 16_384  # vectors the partitioner and its classifier are fitted on, at
 PART_ROWS = 2_000  # rows a part should have
 BLOCK_ITEMS = 4_096  # items of one task's block
 BLOCK_QUERIES = 16_384  # queries of one task's block
+HELD_OUT = 400  # asking vectors, unknown to the classifier, whose true neighbours say how many parts to visit
 GRAPH_BLOCK = 128  # sampled vectors compared at once with the sample, on the driver
 
 
@@ -38,7 +39,7 @@ class Router:
         return np.take_along_axis(best, np.argsort(-np.take_along_axis(s, best, 1), axis=1, kind="stable"), 1)
 
 
-def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None = None, queries: str | None = None, probes: int = 8, sample: int = SAMPLE, part_rows: int = PART_ROWS, seed: int = 5) -> DataFrame:
+def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None = None, queries: str | None = None, probes: int = 8, recall: float = 0.9, sample: int = SAMPLE, part_rows: int = PART_ROWS, seed: int = 5) -> DataFrame:
     """The ``k`` most similar other vectors of each query vector, by cosine.
 
     ``vectors`` has ``index`` (long) and ``vector`` (array of float); other
@@ -56,8 +57,12 @@ def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None
     graph, which is partitioned into equal parts: recursive median splits, then
     label propagation along edges under a size limit. A small classifier
     learns vector -> part. Every vector is indexed in its most probable part;
-    a query visits its ``probes`` most probable parts and is reranked exactly.
-    The loss is that of neighbours in parts not visited.
+    a query visits its most probable parts and is reranked exactly. The loss
+    is that of neighbours in parts not visited. At least ``probes`` parts are
+    visited; with more parts than that, about ``HELD_OUT`` asking rows that the
+    classifier has not seen are compared with every row, and as many parts are
+    visited as those need to find ``recall`` of their neighbours, with two
+    standard errors to spare.
 
     The number of parts follows the rows (``rows / part_rows``, at most one per
     64 sampled rows; raise ``sample`` for more). Parts that turn out large, for
@@ -74,12 +79,21 @@ def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None
     rows = usable.count()
     if rows == 0:
         return vectors.sparkSession.createDataFrame([], schema)
+    ask = F.coalesce(F.expr(queries), F.lit(False)) if queries else F.lit(True)
+    below = lambda salt, share: F.pmod(F.xxhash64(F.lit(salt), "index"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+    known, held = usable, None
+    if min(rows // part_rows, min(rows, sample) // 64) > probes:
+        asking = usable.where(ask).count() if queries else rows
+        drawn = ask & below(seed + 1, min(1.0, min(HELD_OUT, rows // 10) / max(asking, 1)))
+        held, known = usable.where(drawn).limit(2 * HELD_OUT).toPandas(), usable.where(~drawn)
     share = min(1.0, sample * 0.97 / rows)
-    chosen = usable.where(F.pmod(F.xxhash64(F.lit(seed), "index"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(sample).select("vector").toArrow()
+    chosen = known.where(below(seed, share)).limit(sample).select("vector").toArrow()
     x = _unit(chosen["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, lengths["d"]))
     parts = int(max(1, min(rows // part_rows, len(x) // 64)))
     router = fit_router(x, parts, seed)
-    ask = F.expr(queries) if queries else F.lit(True)
+    floor = -2.0 if min_cosine is None else min_cosine
+    if held is not None and len(held) and parts > probes:
+        probes = max(probes, _enough_probes(usable, held, router, k, floor, recall))
     routed = materialize(_route(usable.withColumn("asks", ask), router, probes), "routed")
 
     load = routed.groupBy("part").agg(F.count(F.when(F.col("home"), 1)).alias("items"), F.count(F.when(F.col("asks"), 1)).alias("queries"))
@@ -90,7 +104,6 @@ def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None
     columns = ("part", "i", "q", "index", "vector")
     items = placed.where("home").withColumn("i", of("ib", 1)).withColumn("q", all_of("qb")).select(*[F.col(c).alias(c) for c in columns])
     asked = placed.where("asks").withColumn("q", of("qb", 2)).withColumn("i", all_of("ib")).select(*[F.col(c).alias(c) for c in columns])
-    floor = -2.0 if min_cosine is None else min_cosine
 
     def block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return _rerank(a, b, k, floor)
@@ -122,6 +135,50 @@ def _route(df: DataFrame, router: Router, probes: int) -> DataFrame:
     return df.mapInPandas(run, "index long, vector array<float>, part int, home boolean, asks boolean")
 
 
+def _enough_probes(usable: DataFrame, held: pd.DataFrame, router: Router, k: int, floor: float, recall: float) -> int:
+    """The fewest parts with which the rows of ``held`` find ``recall`` of their true neighbours; all parts if none are fewer.
+
+    Every row meets ``held``; a batch keeps its ``k`` nearest of each, so at most
+    ``k`` rows per held row and batch are shuffled. Where fewer than 100
+    neighbours reach ``floor``, the nearest at any cosine count instead.
+    """
+    asked, same = _unit(np.array(held["vector"].tolist(), dtype=np.float32)), held["index"].to_numpy()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                ids = b["index"].to_numpy()
+                x = _unit(np.array(b["vector"].tolist(), dtype=np.float32))
+                cos = asked @ x.T
+                cos[same[:, None] == ids[None, :]] = -3
+                best = np.argpartition(-cos, min(k, len(b)) - 1, axis=1)[:, :k]
+                r = np.repeat(np.arange(len(same)), best.shape[1])
+                c = best.ravel()
+                keep = cos[r, c] > -2.5
+                r, c = r[keep], c[keep]
+                yield pd.DataFrame({"held": r, "neighbour": ids[c], "cosine": cos[r, c].astype(np.float64), "part": router.top(x, 1)[c, 0].astype(np.int32)})
+
+    near = usable.mapInPandas(run, "held long, neighbour long, cosine double, part int")
+    order = Window.partitionBy("held").orderBy(F.desc("cosine"), "neighbour")
+    true = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).toPandas()
+    parts = router.w2.shape[1]
+    if (true["cosine"] >= floor).sum() >= 100:
+        true = true[true["cosine"] >= floor]
+    if not len(true):
+        return parts
+    visits = np.argsort(router.top(asked, parts), axis=1)
+    at = visits[true["held"].to_numpy(), true["part"].to_numpy()]  # the visit in which each neighbour is met
+    _, row = np.unique(true["held"].to_numpy(), return_inverse=True)
+    n = np.bincount(row)
+    for p in range(1, parts):
+        met = np.bincount(row, weights=at < p)
+        share = met.sum() / n.sum()
+        error = np.sqrt(((met - share * n) ** 2).sum()) / n.sum()  # neighbours of one row are met together
+        if share - 2 * error >= recall:
+            return p
+    return parts
+
+
 def _rerank(asked: pd.DataFrame, items: pd.DataFrame, k: int, floor: float) -> pd.DataFrame:
     """Exact top ``k`` of one block of queries in one block of items, with cosines in double."""
     if not len(asked) or not len(items):
