@@ -147,3 +147,13 @@ def test_script(text, script):
 def test_share_counts_exactly():
     assert repeated_share("a b c d e a b c d e".split(), 5) == 1 / 6
     assert repeated_share("a b".split(), 5) is None
+
+
+def test_leaks_of_different_texts_of_one_item(spark):
+    from tidemark.llm.leakage import leaked_passages
+
+    one, two, nowhere = (" ".join(f"{c}{i}" for i in range(14)) for c in "abc")
+    items = spark.createDataFrame([(1, one), (1, two), (1, nowhere)], "item_id int, text string")
+    docs = spark.createDataFrame([(10, one), (20, "x " + two)], "doc_id int, text string")
+    got = {(r["item_id"], r["doc_id"]): (r["windows"], r["share"]) for r in leaked_passages(items, docs).collect()}
+    assert got == {(1, 10): (3, 3 / 9), (1, 20): (3, 3 / 9)}

@@ -39,26 +39,27 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     """
     per_window = run - n + 1
     w = lambda df, k: df.where(F.col(k).isNotNull()).select(k, words(F.col("text")).alias("ws")).where(F.size("ws") >= run)
-    item_words = materialize(w(items.select("item_id", "text").distinct(), "item_id").select("item_id", "ws"), "items")
-    item_shingles = shingle_places(item_words, ["item_id", "ws"], n)
+    # texts of one id are kept apart by number until the pairs
+    item_words = materialize(w(items.select("item_id", "text").distinct(), "item_id").select("item_id", "ws", F.monotonically_increasing_id().alias("text_no")), "items")
+    item_shingles = shingle_places(item_words, ["text_no", "ws"], n)
     known = broadcast_if_small(item_shingles.select("sh").distinct(), 1_000_000)
     doc_words = w(docs, "doc_id")
 
     # rarity of the items' shingles in the whole corpus
     rarity = materialize(shingle_places(doc_words, [], n, different=True).select("sh").join(known, "sh", "left_semi").groupBy("sh").agg(F.count(F.lit(1)).alias("df")), "rarity")
-    ranked = item_shingles.join(broadcast_if_small(rarity, 500_000), "sh", "left").select("item_id", "ws", "at", "sh", F.coalesce("df", F.lit(0)).alias("df"))
+    ranked = item_shingles.join(broadcast_if_small(rarity, 500_000), "sh", "left").select("text_no", "ws", "at", "sh", F.coalesce("df", F.lit(0)).alias("df"))
     starts = F.sequence(F.greatest(F.lit(0), F.col("at") - per_window + 1), F.least(F.col("at"), F.size("ws") - run))
     windows = (
-        ranked.select("item_id", "at", "sh", "df", F.explode(starts).alias("start"))
-        .groupBy("item_id", "start")
+        ranked.select("text_no", "at", "sh", "df", F.explode(starts).alias("start"))
+        .groupBy("text_no", "start")
         .agg(F.min(F.struct("df", "at", "sh")).alias("p"))
         .where("p.df > 0")  # a shingle that no document has: the window is nowhere
-        .select("item_id", "start", F.col("p.sh").alias("sh"), (F.col("p.at") - F.col("start")).alias("offset"))
+        .select("text_no", "start", F.col("p.sh").alias("sh"), (F.col("p.at") - F.col("start")).alias("offset"))
     )
     passages = lambda start: F.concat_ws(" ", F.slice("ws", F.col(start) + 1, run))
     every = item_words.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("ws") - run))).withColumn("passage", passages("start"))
     totals = every.groupBy("item_id").agg(F.count_distinct("passage").alias("all_windows"))
-    prefixes = materialize(windows.join(every, ["item_id", "start"]).select("item_id", "sh", "offset", "passage").distinct(), "prefixes")
+    prefixes = materialize(windows.join(every, ["text_no", "start"]).select("item_id", "sh", "offset", "passage").distinct(), "prefixes")
 
     met = shingle_places(doc_words, ["doc_id"], n).join(broadcast_if_small(prefixes, 200_000), "sh")
     begin = F.col("at") - F.col("offset")
