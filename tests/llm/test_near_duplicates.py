@@ -45,13 +45,44 @@ def test_finds_every_link(spark, seed, sizes, vocabulary):
     assert got == want and len(want) > 5
 
 
-def test_hot_entries_are_split_without_loss(spark, monkeypatch):
-    monkeypatch.setattr(nd, "HOT_PAIRS", 3)
-    rng = random.Random(9)
+def phrases(rng, n):
     common = [f"phrase{i}" for i in range(9)]
-    rows = [(f"r{i:03d}", " ".join(common + [f"slot{rng.randrange(12)}x{j}" for j in range(6)])) for i in range(150)]
+    return [(f"r{i:03d}", " ".join(common + [f"slot{rng.randrange(12)}x{j}" for j in range(6)])) for i in range(n)]
+
+
+@pytest.mark.parametrize("pairs,splits", [(3, 4), (3, 1), (0, 2)])
+def test_hot_entries_are_split_without_loss(spark, monkeypatch, pairs, splits):
+    monkeypatch.setattr(nd, "HOT_PAIRS", pairs)
+    monkeypatch.setattr(nd, "MOST_SPLITS", splits)
+    monkeypatch.setattr(nd, "BLOCK_SETS", 7)
+    monkeypatch.setattr(nd, "PART_ENTRIES", 500)
+    rows = phrases(random.Random(9), 150) + [(f"copy{i}", " ".join(f"same{j}" for j in range(13))) for i in range(20)]
     members, links = near_duplicates(spark.createDataFrame(rows, "record_id string, text string"))
-    assert {(r[0], r[1]) for r in expand_copies(members, links, "record_id").collect()} == brute(rows)
+    got = [(r[0], r[1]) for r in expand_copies(members, links, "record_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+
+
+def test_work_stays_in_proportion(monkeypatch):
+    """Entries a set, those split included, and hot keys' pairs do not grow with the number of sets."""
+    from fractions import Fraction
+
+    import pyarrow as pa
+
+    limit, none = Fraction("0.75"), np.zeros(0, np.uint64)
+
+    def figures(n):
+        rng = np.random.default_rng(3)
+        rare = rng.integers(0, 1 << 62, (n, 16))
+        shared = rng.integers(0, 400, (n, 8)) + np.arange(8) * 1000  # phrases that one in 400 sets share
+        shared[: n // 3] = np.arange(8)  # and one that a third share
+        ws = pa.array(list(np.concatenate([rare, shared], axis=1)), pa.list_(pa.int64()))
+        common = nd.common_keys(ws[:2000], limit, 1, n / 2000, 40_000 * n // 20_000)
+        b = nd.read_sets(ws)
+        keys, times = np.unique(np.concatenate([k for k, _, _ in nd.table_entries(b, limit, 1, common, none, 0)]), return_counts=True)
+        return times.sum() / n, times.max() / n
+
+    (few, top_few), (many, top_many) = figures(2_000), figures(20_000)
+    assert many < 1.2 * few and max(top_few, top_many) < 0.2
 
 
 def test_nulls_copies_and_short_texts(spark):

@@ -10,13 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.runtime import materialize
+from tidemark.runtime import broadcast_if_small, materialize
 
-FILTER_BITS = 26  # each filter has 2**26 cells, hence 8 MB, whatever the data's size
-COUNT_BITS = 18
-CHUNK_BITS = 20
-HOT_PAIRS = 4_000_000  # candidate pairs of one table entry above which it is split by a second segment
-ONE = np.uint64(1)
+HOT_PAIRS = 1_000_000  # candidate pairs of one table entry above which it is split by a second segment
+MOST_SPLITS = 4  # splits of an entry; what is hot still is compared in blocks
+BLOCK_SETS = 1_000  # sets of such a block, and copies of one class that meet in a task
+PART_ENTRIES = 2_000_000  # table entries that one task holds
+SEND_ENTRIES = 1_000_000  # table entries that a task packs at a time
+SAMPLE = 20_000  # sets, at most, in which entries shared by a large share of all sets are looked for
+KEY_BITS = np.uint64(40)  # of an entry's key, beside the number of its part
+ASKS, SIZE = np.uint8(128), np.uint8(127)  # one byte: whether an entry asks, and its set's size (127: that or more)
 
 
 # --- building blocks -------------------------------------------------------------------
@@ -25,7 +28,7 @@ ONE = np.uint64(1)
 def word_set(text: Column, min_length: int) -> Column:
     """The different words of ``min_length`` or more characters, in lower case, sorted."""
     cut = F.split(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "[^A-Za-z0-9]+", " ")), " ")
-    return F.array_sort(F.array_distinct(F.filter(cut, lambda w: F.length(w) >= min_length)))
+    return F.sort_array(F.array_distinct(F.filter(cut, lambda w: F.length(w) >= min_length)))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -49,90 +52,82 @@ def most_apart(n: np.ndarray, limit: Fraction) -> np.ndarray:
 
 
 def segments_of(size_class: int) -> int:
-    return 4 if size_class == 0 else 5 << size_class
+    """Four words or so to a segment."""
+    return 4 if size_class == 0 else 5 << size_class - 1
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
-    """0 below 40 words, then one class for each doubling."""
-    return np.where(n < 40, 0, np.floor(np.log2(np.maximum(n, 40) / 40)).astype(np.int64) + 1)
+    """0 below 20 words, then one class for each doubling."""
+    return np.where(n < 20, 0, np.floor(np.log2(np.maximum(n, 20) / 20)).astype(np.int64) + 1)
 
 
-class Batch:
-    """Word sets of one Arrow batch: ``flat`` words (scrambled) with the set each belongs to."""
+class Sets:
+    """Word sets: ``flat`` words (scrambled), set by set, with the set each belongs to, and how many each has."""
 
-    def __init__(self, ids: np.ndarray, owner: np.ndarray, flat: np.ndarray, n: np.ndarray) -> None:
-        self.ids, self.owner, self.flat, self.n = ids, owner, flat, n
+    def __init__(self, owner: np.ndarray, flat: np.ndarray, n: np.ndarray) -> None:
+        self.owner, self.flat, self.n = owner, flat, n
 
 
-def read_batch(b: pa.RecordBatch) -> Batch:
-    ws = b.column("ws")
-    n = np.diff(ws.offsets.to_numpy()).astype(np.int64)
-    flat = mix64(ws.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return Batch(b.column("set_id").to_numpy(), np.repeat(np.arange(len(n)), n), flat, n)
+def read_sets(words: pa.ListArray) -> Sets:
+    n = np.diff(words.offsets.to_numpy()).astype(np.int64)
+    flat = mix64(words.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    return Sets(np.repeat(np.arange(len(n)), n), flat, n)
 
 
-def fingerprints(b: Batch) -> np.ndarray:
-    """64-bit parity sketches: two sets' Hamming distance never exceeds their symmetric difference."""
-    bits = np.bincount(b.owner * 64 + (b.flat >> np.uint64(58)).astype(np.int64), minlength=len(b.n) * 64).reshape(-1, 64) & 1
-    return np.packbits(bits.astype(np.uint8), axis=1).view(np.uint64).ravel()
+def fingerprints(b: Sets) -> np.ndarray:
+    """32-bit parity sketches: two sets' Hamming distance never exceeds their symmetric difference."""
+    bits = np.bincount(b.owner * 32 + (b.flat >> np.uint64(59)).astype(np.int64), minlength=len(b.n) * 32).reshape(-1, 32) & 1
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.uint32).ravel()
 
 
-class Bits:
-    """A fixed-size membership filter; answers may be wrongly yes, never wrongly no."""
-
-    def __init__(self, packed: np.ndarray) -> None:
-        self.packed = packed
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        cell = keys & np.uint64((1 << FILTER_BITS) - 1)
-        return (self.packed[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def entries(b: Batch, ids: np.ndarray, budget: np.ndarray, usable: np.ndarray, classes: np.ndarray, *, level: int = 0, base: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple | None]]:
-    """Table entries ``(key, set, radius, deletions)`` of the sets ``ids``, segment by segment.
+def entries(b: Sets, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray, *, level: int = 0, base: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Table entries ``(key, set, radius, deletions, segments, segment)`` of the sets ``rows``, segment by segment.
 
     A set's words fall into ``m`` segments by hash. Two sets that differ in at
     most ``budget`` words differ in some segment ``i`` by at most its radius,
     where the radii and one each add up to budget + 1. Within a segment the ball
     of that radius is enumerated from below: the segment's words with up to
     ``radius`` of them left out. Sets X and Y within the radius then share an
-    entry. The fifth item tells which word was left out, for splitting.
+    entry. ``base``, by set, keeps apart what must not meet. ``segments`` has
+    the segment of every word of ``b``, for splitting.
     """
-    order = np.full(len(b.n), -1)
-    order[ids] = np.arange(len(ids))
     for c in np.unique(classes):
         m = segments_of(int(c))
-        chosen = classes == c
-        rank = np.full(len(b.n), -1)
-        rank[ids[chosen]] = np.flatnonzero(chosen)
+        chosen = rows[classes == c]
+        mine = np.zeros(len(b.n), bool)
+        mine[chosen] = True
         segment = ((mix64(b.flat + np.uint64(level + 1)) >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
+        words = np.flatnonzero(mine[b.owner])
+        words = words[np.argsort(segment[words], kind="stable")]
+        ends = np.searchsorted(segment[words], np.arange(m + 1))
         for i in range(m):
-            here = np.flatnonzero(usable & (segment == i) & (rank[b.owner] >= 0))
-            sums = np.zeros(len(ids), np.uint64)
-            np.add.at(sums, rank[b.owner[here]], b.flat[here])
+            radius = np.full(len(b.n), -1)
+            radius[chosen] = -(-(budget[chosen] + 1 - i) // m) - 1
+            able = chosen[radius[chosen] >= 0]
+            if not len(able):
+                break
+            here = words[ends[i] : ends[i + 1]]
+            sums = np.zeros(len(b.n), np.uint64)
+            np.add.at(sums, b.owner[here], b.flat[here])
             tag = np.uint64(((level << 40) + (int(c) << 32) + i + 1) * 0x9E3779B97F4A7C15 % 2**64)
             name = lambda s, r: mix64(s + tag + (base[r] if base is not None else np.uint64(0)))  # noqa: B023, E731
-            radius = -(-(budget + 1 - i) // m) - 1
-            rows = np.flatnonzero(chosen & (radius >= 0))
-            yield name(sums[rows], rows), rows, radius[rows], np.zeros(len(rows), np.int64), (here, segment, i, None)
-            r = rank[b.owner[here]]
-            one = here[radius[r] >= 1]
-            r = rank[b.owner[one]]
+            yield name(sums[able], able), able, radius[able], np.zeros(len(able), np.int64), segment, i
+            one = here[radius[b.owner[here]] >= 1]
             if len(one):
-                yield name(sums[r] - b.flat[one], r), r, radius[r], np.ones(len(one), np.int64), (here, segment, i, one)
+                r = b.owner[one]
+                yield name(sums[r] - b.flat[one], r), r, radius[r], np.ones(len(one), np.int64), segment, i
             for depth in range(2, int(radius.max(initial=0)) + 1):
-                k, rr = _left_out(b, here, rank, sums, radius, depth)
+                k, r = _left_out(b, here, sums, radius, depth)
                 if len(k):
-                    yield name(k, rr), rr, radius[rr], np.full(len(k), depth), (here, segment, i, None)
+                    yield name(k, r), r, radius[r], np.full(len(k), depth), segment, i
 
 
-def _left_out(b: Batch, here: np.ndarray, rank: np.ndarray, sums: np.ndarray, radius: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def _left_out(b: Sets, here: np.ndarray, sums: np.ndarray, radius: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Segment sums without any ``depth`` of the segment's words, for sets whose radius allows it."""
     from itertools import combinations
 
-    r = rank[b.owner[here]]
-    keep = radius[r] >= depth
-    r, words = r[keep], b.flat[here[keep]]
+    here = here[radius[b.owner[here]] >= depth]
+    r, words = b.owner[here], b.flat[here]
     starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else np.zeros(0, np.int64)
     lengths = np.diff(np.concatenate([starts, [len(r)]]))
     keys, rows = [], []
@@ -145,61 +140,66 @@ def _left_out(b: Batch, here: np.ndarray, rank: np.ndarray, sums: np.ndarray, ra
     return (np.concatenate(keys), np.concatenate(rows)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
-# --- fixed-size filters over all sets --------------------------------------------------
-
-FILTER_SCHEMA = "kind string, chunk int, data binary"
-
-
-def _planes(kind: str, keys: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
-    """Which cells are met once (plane 1) and again (plane 2), by chunk, sparse or dense, whichever is smaller."""
-    cells, times = np.unique((keys & np.uint64((1 << FILTER_BITS) - 1)).astype(np.uint32), return_counts=True)
-    for plane, at in ((1, cells), (2, cells[times > 1])):
-        chunk = at >> CHUNK_BITS
-        cuts = np.searchsorted(chunk, np.arange((1 << FILTER_BITS - CHUNK_BITS) + 1))
-        for c in np.flatnonzero(np.diff(cuts)):
-            inside = at[cuts[c] : cuts[c + 1]] & np.uint32((1 << CHUNK_BITS) - 1)
-            if inside.nbytes < 1 << CHUNK_BITS - 3:
-                yield f"{kind}{plane}", int(c), b"s" + inside.tobytes()
-            else:
-                bits = np.zeros(1 << CHUNK_BITS, np.uint8)
-                bits[inside] = 1
-                yield f"{kind}{plane}", int(c), b"d" + np.packbits(bits, bitorder="little").tobytes()
-
-
-def _rows(items: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
-    kinds, chunks, data = zip(*items) if items else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(chunks, pa.int32()), pa.array(data, pa.binary())], names=["kind", "chunk", "data"])
-
-
-def _merge(key: tuple, table: pa.Table) -> pa.Table:
-    """Add up one chunk of a filter, or of the counts, over all partitions."""
-    name, chunk = key[0].as_py(), key[1].as_py()
-    if name.startswith("count"):
-        total = sum(np.frombuffer(d, np.int64) for d in table["data"].to_pylist())
-        return pa.Table.from_batches([_rows([(name, chunk, total.tobytes())])])
-    met = np.zeros(1 << CHUNK_BITS, np.int32)
-    for kind, d in zip(table["kind"].to_pylist(), table["data"].to_pylist()):
-        weight = int(kind[-1])  # the second plane alone stands for two
-        if d[:1] == b"s":
-            met[np.frombuffer(d, np.uint32, offset=1)] += weight
-        else:
-            met += weight * np.unpackbits(np.frombuffer(d, np.uint8, offset=1), bitorder="little").astype(np.int32)
-    planes = [(f"{name}{p}", chunk, np.packbits(met >= p, bitorder="little").tobytes()) for p in (1, 2)]
-    return pa.Table.from_batches([_rows(planes)])
-
-
-def _filters(parts: DataFrame, wanted: tuple[str, ...]) -> dict[str, np.ndarray]:
-    """The wanted filters of all sets at the driver: a few arrays of fixed size."""
-    group = F.when(F.col("kind").startswith("count"), F.col("kind")).otherwise(F.regexp_replace("kind", "[0-9]$", ""))
-    merged = parts.withColumn("name", group).groupBy("name", "chunk").applyInArrow(_merge, FILTER_SCHEMA)
-    out: dict[str, np.ndarray] = {}
-    for kind, chunk, data in merged.where(F.col("kind").isin(list(wanted))).collect():
-        if kind.startswith("count"):
-            out[kind] = np.frombuffer(bytes(data), np.int64)
-        else:
-            at = chunk << CHUNK_BITS - 3
-            out.setdefault(kind, np.zeros(1 << FILTER_BITS - 3, np.uint8))[at : at + len(data)] = np.frombuffer(bytes(data), np.uint8)
-    return out
+def short_key(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The number of an entry's part and 40 more bits of its key, in one integer."""
+    return ((keys >> KEY_BITS) * np.uint64(parts) >> np.uint64(24) << KEY_BITS) | keys & np.uint64((1 << 40) - 1)
+
+
+def table_entries(b: Sets, limit: Fraction, parts: int, common: np.ndarray, hot: np.ndarray, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(key, set, asks)`` of the entries whose turn it is, hot ones split.
+
+    ``common`` and ``hot`` are sorted keys. An entry in either is split by the
+    segments of the words outside its own segment. Entries split as ``common``
+    were never met; one that is ``hot`` was met in an earlier turn, so what it is
+    split into comes in the next one. Of a pair's two entries, that with fewer
+    words left out asks; only pairs with one that asks are candidates.
+    """
+    p, q = limit.numerator, limit.denominator
+    budget = most_apart(b.n, limit)
+    own, largest = size_class(b.n), size_class(b.n * q // p)
+    for step in range(int((largest - own).max(initial=0)) + 1):  # partners may be of a larger class
+        rows = np.flatnonzero(own + step <= largest)
+        classes = own + step
+        yield from _split_hot(b, np.arange(len(b.n)), rows, budget, classes, np.zeros(len(b.n), np.int64), 0, None, parts, common, hot, turn)
+
+
+def _split_hot(b: Sets, origin: np.ndarray, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray, met: np.ndarray, level: int, base: np.ndarray | None, parts: int, common: np.ndarray, hot: np.ndarray, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    firsts = np.concatenate([[0], np.cumsum(np.bincount(b.owner, minlength=len(b.n)))])
+    for k, r, radius, deleted, segment, i in entries(b, rows, budget, classes[rows], level=level, base=base):
+        key = short_key(k, parts)
+        known, seen = _within(key, common), _within(key, hot)
+        split = known | seen
+        now = ~split & (met[r] == turn)
+        if now.any():
+            yield key[now], origin[r[now]], (deleted <= radius // 2)[now]
+        at = np.flatnonzero(split & (met[r] + (seen & ~known) <= turn))
+        if len(at):
+            # each becomes a set of its own, of the words outside segment i
+            sets = r[at]
+            lengths = firsts[sets + 1] - firsts[sets]
+            words = np.repeat(firsts[sets] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+            outside = segment[words] != i
+            inner = Sets(np.repeat(np.arange(len(at)), lengths)[outside], b.flat[words[outside]], b.n[sets])
+            yield from _split_hot(inner, origin[sets], np.arange(len(at)), budget[sets] - deleted[at], classes[sets], met[sets] + (seen & ~known)[at], level + 1, k[at], parts, common, hot, turn)
+
+
+def _within(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
+def common_keys(sample: pa.ListArray, limit: Fraction, parts: int, scale: float, hot_pairs: int) -> np.ndarray:
+    """Keys that so many sampled sets have that, at ``scale`` times as many sets, their pairs must exceed ``hot_pairs``."""
+    b, found = read_sets(sample), np.zeros(0, np.uint64)
+    for _ in range(MOST_SPLITS):
+        keys = [k for k, _, _ in table_entries(b, limit, parts, found, np.zeros(0, np.uint64), 0)]
+        different, times = np.unique(np.concatenate(keys), return_counts=True) if keys else (found, found)
+        new = different[(times >= 20) & ((times * scale) ** 2 > 2 * hot_pairs)]
+        if not len(new):
+            break
+        found = np.union1d(found, new)
+    return found
 
 
 # --- the operator ----------------------------------------------------------------------
@@ -219,140 +219,179 @@ def near_duplicates(docs: DataFrame, *, key: str = "record_id", text: str = "tex
     Multi-index hashing. A word set's fingerprint has one coordinate per word
     and is cut into segments by hash of the word. From the sets' sizes follows
     the largest Hamming distance (symmetric difference) that two sets this alike
-    may have, less their words that occur in no other set; that budget is
-    spread over the segments, and by the pigeonhole principle one segment is
-    within its radius. For each segment, small Hamming balls are enumerated
-    as table entries, matches fetched by an equi-join, checked by the distance
-    of 64-bit parity sketches, and verified by complete distances. Larger sets
-    are cut into more segments, so balls stay small whatever a text's length.
-
-    Scale: entries that nothing can match are dropped before the shuffle by
-    filters of fixed size (8 MB each) filled from all sets; they only save
-    work, and let through more as the data outgrow them. Copies never meet:
-    they are one class. An entry whose pairs exceed ``HOT_PAIRS``, such as a
-    campaign's common phrases, is split by the segments of its remaining words,
-    which is exact by the same principle; AQE splits what is skewed still.
+    may have; that budget is spread over the segments, and by the pigeonhole
+    principle one segment is within its radius. For each segment, small Hamming
+    balls are enumerated as table entries, entries of equal key meet, pairs are
+    checked by size and by the distance of 32-bit parity sketches, and verified
+    by complete distances, word for word.
+
+    Scale: nothing depends on the number of sets but the number of parts. A set
+    has some 26 entries of 25 words, packed into 12 bytes each, which are
+    shuffled once, by part of the key space; a part has about ``PART_ENTRIES``
+    of them whatever the data's size. Copies never meet: they are one class.
+    A key whose pairs exceed ``HOT_PAIRS``, such as a campaign's common
+    phrases, is counted exactly where its entries meet and split by the segments
+    of the remaining words in the next turn, which is exact by the same
+    principle, as often as needed. Keys so common that a bounded sample shows it
+    are split before they are ever sent, so none fills a task. What still is hot
+    after ``MOST_SPLITS`` splits differs in hardly a word, so its pairs are
+    links; they are compared in blocks of ``BLOCK_SETS``, by as many tasks.
     """
-    limit = Fraction(threshold)
+    limit, hot_pairs = Fraction(threshold), HOT_PAIRS
     p, q = limit.numerator, limit.denominator
     tokens = docs.where(F.col(key).isNotNull()).select(key, word_set(F.col(text), min_length).alias("_w")).where(F.size("_w") >= min_words)
-    hashed = tokens.select(key, F.xxhash64("_w").alias("set_id"), F.transform("_w", lambda w: F.hash(w)).alias("ws"))
-    members = hashed.select(key, "set_id").distinct()
-    classes = materialize(hashed.groupBy("set_id").agg(F.first("ws").alias("ws")), "sets")
-    sc = docs.sparkSession.sparkContext
-
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = [mix64(read_batch(b).flat) for b in batches if b.num_rows]
-        if keys:
-            yield _rows(list(_planes("word", np.concatenate(keys))))
-
-    met = _filters(classes.mapInArrow(count_words, FILTER_SCHEMA), ("word2",))
-    if not met:
-        empty = docs.sparkSession.createDataFrame([], "set_a long, set_b long, jaccard double")
-        return members, empty
-    shared_words = sc.broadcast(met["word2"])
-
-    def prepare(batch: pa.RecordBatch):
-        b = read_batch(batch)
-        common = Bits(shared_words.value).has(mix64(b.flat))
-        budget = most_apart(b.n, limit) - np.bincount(b.owner[~common], minlength=len(b.n))
-        ids = np.flatnonzero(budget >= 0)
-        own, larger = size_class(b.n), size_class(b.n * q // p)
-        return b, common, budget, [(ids, own[ids])] + ([(ids[(larger > own)[ids]], larger[ids][(larger > own)[ids]])] if (larger > own).any() else [])
-
-    def count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full, cut = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            b, common, budget, groups = prepare(batch)
-            for ids, cls in groups:
-                for k, _, radius, deleted, _ in entries(b, ids, budget[ids], common, cls):
-                    (cut if deleted[:1].any() else full).append(k)
-                    if deleted[:1].any() and (both := deleted <= radius // 2).any():
-                        full.append(k[both])  # of a large radius, these are met by others' balls as well
-        fulls, cuts = np.concatenate(full), np.concatenate(cut)
-        cell = np.uint64((1 << COUNT_BITS) - 1)
-        counts = [("count_full", 0, np.bincount((fulls & cell).astype(np.int64), minlength=1 << COUNT_BITS).astype(np.int64).tobytes()), ("count_cut", 0, np.bincount((cuts & cell).astype(np.int64), minlength=1 << COUNT_BITS).astype(np.int64).tobytes())]
-        if len(fulls):
-            yield _rows([*_planes("full", fulls), *_planes("cut", cuts), *counts])
-
-    met = _filters(classes.mapInArrow(count_entries, FILTER_SCHEMA), ("full1", "full2", "cut1", "count_full", "count_cut"))
-    if not met:
-        return members, docs.sparkSession.createDataFrame([], "set_a long, set_b long, jaccard double")
-    none = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    hot_cells = met["count_full"].astype(np.float64) * (met["count_full"] + met["count_cut"]) > HOT_PAIRS
-    tables = sc.broadcast((met["full1"], met.get("full2", none), met.get("cut1", none), hot_cells))
-
-    def emit(left: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            full1, full2, cut1, hot = tables.value
-            once, again, cuts = Bits(full1), Bits(full2), Bits(cut1)
-            cell = np.uint64((1 << COUNT_BITS) - 1)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                b, common, budget, groups = prepare(batch)
-                prints = fingerprints(b)
-                for ids, cls in groups:
-                    for k, rows, radius, deleted, trace in entries(b, ids, budget[ids], common, cls):
-                        asks = deleted <= radius // 2
-                        useful = (again.has(k) | cuts.has(k)) & asks if left else np.where(asks, again.has(k) | cuts.has(k) if deleted[:1].any() else again.has(k), once.has(k))
-                        warm = hot[(k & cell).astype(np.int64)]
-                        keep = useful & ~warm
-                        if keep.any():
-                            yield _entry_rows(b, prints, k[keep], ids[rows[keep]], deleted[keep])
-                        if (useful & warm).any():
-                            yield from _split(b, prints, common, budget, ids, cls, k, rows, deleted, useful & warm, trace)
-
-        return run
-
-    schema = "key long, id long, print long, n int, cut int"
-    a = classes.mapInArrow(emit(True), schema).alias("a")
-    z = classes.mapInArrow(emit(False), schema).alias("z")
-    both = F.col("a.n") + F.col("z.n")
-    least = F.ceil(both * p / F.lit(p + q))
-    close = (F.least("a.n", "z.n") * q >= F.greatest("a.n", "z.n") * p) & (F.bit_count(F.col("a.print").bitwiseXOR(F.col("z.print"))) <= both - 2 * least)
-    ordered = (F.col("a.id") != F.col("z.id")) & ((F.col("a.cut") != F.col("z.cut")) | (F.col("a.id") < F.col("z.id")))
-    joined = a.hint("shuffle_hash").join(z, (F.col("a.key") == F.col("z.key")) & ordered & close)
-    pairs = joined.select(F.least("a.id", "z.id").alias("set_a"), F.greatest("a.id", "z.id").alias("set_b")).distinct()
-    sets_a = classes.select(F.col("set_id").alias("set_a"), F.col("ws").alias("wa"))
-    sets_b = classes.select(F.col("set_id").alias("set_b"), F.col("ws").alias("wb"))
-    shared = F.size(F.array_intersect("wa", "wb"))
-    checked = pairs.join(sets_a, "set_a").join(sets_b, "set_b").select("set_a", "set_b", shared.alias("o"), (F.size("wa") + F.size("wb")).alias("s"))
+    rows = materialize(tokens.select(key, F.xxhash64("_w").alias("set_id"), F.array_join("_w", " ").alias("words")), "rows")
+    members = rows.select(key, "set_id").distinct()
+    sets = materialize(rows.select("set_id", "words").distinct().withColumn("no", F.monotonically_increasing_id()), "sets")
+    total = sets.count()
+    hashes = F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("ws")
+    parts = max(1, -(-total * 30 // PART_ENTRIES))
+    share = min(1.0, 0.97 * SAMPLE / max(total, 1))
+    sample = sets.where(F.pmod("set_id", F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select(hashes).limit(SAMPLE).toArrow()["ws"].combine_chunks()
+    common = common_keys(sample, limit, parts, total / max(len(sample), 1), hot_pairs)
+
+    pairs, hot = None, None
+    for turn in range(MOST_SPLITS + 1):
+        asked = sets.select("no", hashes, F.array().cast("array<bigint>").alias("hot")) if hot is None else sets.join(hot.groupBy("no").agg(F.collect_set("key").alias("hot")), "no").select("no", hashes, "hot")
+        packed = asked.mapInArrow(lambda batches, t=turn: _pack(batches, limit, parts, common, t), "part int, data binary")
+        met = materialize(packed.groupBy("part").applyInArrow(_meeting(limit, hot_pairs), "a long, b long, key long"), "met")
+        found = met.where("key IS NULL").select("a", "b")
+        pairs = found if pairs is None else pairs.unionByName(found)
+        more = met.where("key IS NOT NULL").select(F.col("a").alias("no"), "key")
+        if more.isEmpty():
+            break
+        hot = more if hot is None else hot.unionByName(more)
+        if turn == MOST_SPLITS:
+            pairs = pairs.unionByName(_in_blocks(more))
+    ends = sets.select("no", "set_id", "words")
+    a, b = (ends.select(F.col("no").alias(x), F.col("set_id").alias(f"set_{x}"), F.col("words").alias(f"words_{x}")) for x in "ab")
+    checked = pairs.distinct().join(a, "a").join(b, "b").withColumns({"_a": F.split("words_a", " "), "_b": F.split("words_b", " ")})
+    checked = checked.select("set_a", "set_b", F.size(F.array_intersect("_a", "_b")).alias("o"), (F.size("_a") + F.size("_b")).alias("s"))
     links = checked.where(F.col("o") * (p + q) >= F.col("s") * p)
-    return members, materialize(links.select("set_a", "set_b", (F.col("o") / (F.col("s") - F.col("o"))).alias("jaccard")), "links")
-
-
-def _entry_rows(b: Batch, prints: np.ndarray, keys: np.ndarray, sets: np.ndarray, deleted: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(b.ids[sets]), pa.array(prints[sets].view(np.int64)), pa.array(b.n[sets].astype(np.int32)), pa.array(deleted.astype(np.int32))], names=["key", "id", "print", "n", "cut"])
-
+    return members, materialize(links.select(F.least("set_a", "set_b").alias("set_a"), F.greatest("set_a", "set_b").alias("set_b"), (F.col("o") / (F.col("s") - F.col("o"))).alias("jaccard")), "links")
+
+
+def _pack(batches: Iterator[pa.RecordBatch], limit: Fraction, parts: int, common: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+    """Entries as bytes by part: the first set's number, then offsets to it, keys, sizes and sketches."""
+    held: list[tuple[np.ndarray, ...]] = []
+    first, waiting = 0, 0
+
+    def send() -> pa.RecordBatch:
+        key, no, size, sketch = (np.concatenate(x) for x in zip(*held))
+        part = (key >> KEY_BITS).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) > 0]))
+        data = []
+        for at in np.split(order, cuts[1:]):
+            low = key[at]
+            data.append(b"".join(x.tobytes() for x in (np.array([first], np.int64), (no[at] - first).astype(np.uint16), low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), size[at], sketch[at])))
+        return pa.RecordBatch.from_arrays([pa.array(part[order[cuts]].astype(np.int32)), pa.array(data, pa.binary())], names=["part", "data"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        every = batch.column("no").to_numpy()
+        for at in _runs(every):  # numbers of one run differ by less than 2**16
+            b, no = read_sets(batch.column("ws").take(pa.array(at))), every[at]
+            hot = np.unique(batch.column("hot").take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            if held and (waiting > SEND_ENTRIES or no[0] < first or no[-1] - first >= 1 << 16):
+                yield send()
+                held, waiting = [], 0
+            if not held:
+                first = int(no[0])
+            sketch, size = fingerprints(b), np.minimum(b.n, int(SIZE)).astype(np.uint8)
+            for key, r, asks in table_entries(b, limit, parts, common, hot, turn):
+                held.append((key, no[r], size[r] | np.where(asks, ASKS, np.uint8(0)), sketch[r]))
+                waiting += len(key)
+    if held:
+        yield send()
+
+
+def _runs(numbers: np.ndarray) -> list[np.ndarray]:
+    """Positions in order of number, cut wherever the number's upper bits change."""
+    order = np.argsort(numbers, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(numbers[order] >> 15)) + 1)
+
+
+def _meeting(limit: Fraction, hot_pairs: int):  # noqa: ANN202
+    """Candidate pairs ``(a, b, null)`` of one part's entries; those of a hot key as ``(a, null, key)``."""
+    p, q = limit.numerator, limit.denominator
 
-def _split(b: Batch, prints: np.ndarray, common: np.ndarray, budget: np.ndarray, ids: np.ndarray, cls: np.ndarray, keys: np.ndarray, rows: np.ndarray, deleted: np.ndarray, chosen: np.ndarray, trace: tuple) -> Iterator[pa.RecordBatch]:
-    """Entries of a hot table entry, by the segments of the words outside its own segment."""
-    _, segment, i, _ = trace
-    at = np.flatnonzero(chosen)
-    sets = ids[rows[at]]
-    # each hot entry becomes a set of its own, of the words outside segment i
-    words_of = np.concatenate([[0], np.cumsum(b.n)])
-    lengths = b.n[sets]
-    flat_at = np.repeat(words_of[sets] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    outside = segment[flat_at] != i
-    owner = np.repeat(np.arange(len(at)), lengths)[outside]
-    flat_at = flat_at[outside]
-    inner = Batch(b.ids[sets], owner, b.flat[flat_at], b.n[sets])
-    virtual = np.arange(len(at))
-    for k, r, _, more, _ in entries(inner, virtual, budget[sets] - deleted[at], common[flat_at], cls[rows[at]], level=1, base=keys[at]):
-        yield _entry_rows(b, prints, k, sets[r], deleted[at][r] * 16 + more)
+    def meet(part: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [d for b in batches for d in b.column("data").to_pylist()]
+        n = [(len(d) - 8) // 12 for d in blobs]
+        read = lambda kind, skip: np.concatenate([np.frombuffer(d, kind, k, 8 + skip * k) for d, k in zip(blobs, n)])
+        low, high, size = read(np.uint32, 2), read(np.uint8, 6), read(np.uint8, 7)
+        no = read(np.uint16, 0).astype(np.int64) + np.repeat([int.from_bytes(d[:8], "little") for d in blobs], n)
+        sketch = read(np.uint32, 8)
+        key = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+        order = np.argsort(key, kind="stable")
+        key, no, size, sketch = key[order], no[order], size[order], sketch[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        lengths = np.diff(np.concatenate([starts, [len(key)]]))
+        asks = size >= ASKS
+        asking = np.add.reduceat(asks.astype(np.int64), starts)
+        count = asking * lengths - asking * (asking + 1) // 2
+        hot = np.repeat(count > hot_pairs, lengths)
+        if hot.any():
+            rows = np.flatnonzero(hot)
+            name = key[rows] | np.uint64(part[0].as_py()) << KEY_BITS
+            yield _met(no[rows], None, name)
+        end = np.repeat(starts + lengths, lengths)
+        live = np.flatnonzero(~hot & np.repeat(count > 0, lengths))
+        after = end[live] - live - 1
+        chunk = np.cumsum(after) // 4_000_000
+        for at in np.split(np.arange(len(live)), np.flatnonzero(np.diff(chunk)) + 1):
+            x, times = live[at], after[at]
+            left = np.repeat(x, times)
+            right = np.repeat(x + 1 - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            keep = (asks[left] | asks[right]) & (no[left] != no[right])
+            left, right = left[keep], right[keep]
+            s, t = (size[left] & SIZE).astype(np.int64), (size[right] & SIZE).astype(np.int64)
+            apart = s + t - 2 * -(-p * (s + t) // (p + q))
+            close = (np.minimum(s, t) * q >= np.maximum(s, t) * p) & (np.bitwise_count(sketch[left] ^ sketch[right]) <= apart)
+            close |= (s == SIZE) | (t == SIZE)
+            a, b = no[left[close]], no[right[close]]
+            if len(a):
+                both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+                yield _met(both[:, 0], both[:, 1], None)
+
+    return meet
+
+
+def _met(a: np.ndarray, b: np.ndarray | None, key: np.ndarray | None) -> pa.RecordBatch:
+    none = pa.nulls(len(a), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(a), none if b is None else pa.array(b), none if key is None else pa.array(key.view(np.int64))], names=["a", "b", "key"])
+
+
+def _in_blocks(hot: DataFrame) -> DataFrame:
+    """All pairs ``a, b`` of the sets of each key, by blocks of bounded size."""
+    hot = hot.distinct()
+    sizes = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
+    placed = hot.join(broadcast_if_small(sizes), "key").withColumn("own", F.pmod(F.xxhash64("no"), F.col("blocks")).cast("int"))
+    first = placed.select("key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), F.col("no").alias("a"))
+    second = placed.select("key", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), F.col("no").alias("b"))
+    met = first.join(second, ["key", "i", "j"]).where((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def expand_copies(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """All pairs of keys, smaller first, whose classes are linked or equal: columns ``a, b``."""
-    same = members.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("set_id").alias("set_a"), F.col("set_id").alias("set_b"))
-    pairs = links.select("set_a", "set_b").unionByName(same)
-    first = members.select(F.col("set_id").alias("set_a"), F.col(key).alias("a"))
-    second = members.select(F.col("set_id").alias("set_b"), F.col(key).alias("b"))
-    met = pairs.join(first, "set_a").join(second, "set_b").where((F.col("set_a") != F.col("set_b")) | (F.col("a") < F.col("b")))
+    """All pairs of keys, smaller first, whose classes are linked or equal: columns ``a, b``.
+
+    Classes of more than ``BLOCK_SETS`` copies are cut into blocks by hash of the
+    key, and every block pair meets under a key of its own.
+    """
+    sizes = members.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
+    pairs = links.select("set_a", "set_b").unionByName(sizes.where("n > 1").select(F.col("set_id").alias("set_a"), F.col("set_id").alias("set_b")))
+    large = broadcast_if_small(sizes.where("blocks > 1").select("set_id", "blocks"))
+    placed = members.join(large, "set_id", "left").select("set_id", F.col(key).alias("k"), F.pmod(F.xxhash64(F.col(key)), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"))
+    blocks = lambda x: F.sequence(F.lit(0), F.coalesce(f"n_{x}", F.lit(1)) - 1)
+    for x in "ab":
+        pairs = pairs.join(large.select(F.col("set_id").alias(f"set_{x}"), F.col("blocks").alias(f"n_{x}")), f"set_{x}", "left")
+    cells = pairs.withColumn("i", F.explode(blocks("a"))).withColumn("j", F.explode(blocks("b"))).where("set_a <> set_b OR i <= j").select("set_a", "i", "set_b", "j")
+    first = cells.join(placed.select(F.col("set_id").alias("set_a"), F.col("block").alias("i"), F.col("k").alias("a")), ["set_a", "i"])
+    second = placed.select(F.col("set_id").alias("set_b"), F.col("block").alias("j"), F.col("k").alias("b"))
+    met = first.join(second, ["set_b", "j"]).where("set_a <> set_b OR i < j OR a < b")
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
