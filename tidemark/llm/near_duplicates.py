@@ -18,7 +18,8 @@ BLOCK_SETS = 1_000  # sets of such a block, and copies of one class that meet in
 PART_ENTRIES = 2_000_000  # table entries that one task holds
 SEND_ENTRIES = 1_000_000  # table entries that a task packs at a time
 SAMPLE = 20_000  # sets, at most, in which entries shared by a large share of all sets are looked for
-KEY_BITS = np.uint64(40)  # of an entry's key, beside the number of its part
+KEY_BITS = np.uint64(32)  # of an entry's key, beside the number of its part
+SKETCH_BITS = 48
 ASKS, SIZE = np.uint8(128), np.uint8(127)  # one byte: whether an entry asks, and its set's size (127: that or more)
 
 
@@ -75,9 +76,10 @@ def read_sets(words: pa.ListArray) -> Sets:
 
 
 def fingerprints(b: Sets) -> np.ndarray:
-    """32-bit parity sketches: two sets' Hamming distance never exceeds their symmetric difference."""
-    bits = np.bincount(b.owner * 32 + (b.flat >> np.uint64(59)).astype(np.int64), minlength=len(b.n) * 32).reshape(-1, 32) & 1
-    return np.packbits(bits.astype(np.uint8), axis=1).view(np.uint32).ravel()
+    """48-bit parity sketches: two sets' Hamming distance never exceeds their symmetric difference."""
+    cell = ((b.flat >> np.uint64(32)) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = np.bincount(b.owner * 64 + cell, minlength=len(b.n) * 64).reshape(-1, 64) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def entries(b: Sets, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray, *, level: int = 0, base: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -141,8 +143,8 @@ def _left_out(b: Sets, here: np.ndarray, sums: np.ndarray, radius: np.ndarray, d
 
 
 def short_key(keys: np.ndarray, parts: int) -> np.ndarray:
-    """The number of an entry's part and 40 more bits of its key, in one integer."""
-    return ((keys >> KEY_BITS) * np.uint64(parts) >> np.uint64(24) << KEY_BITS) | keys & np.uint64((1 << 40) - 1)
+    """The number of an entry's part and 32 more bits of its key, in one integer."""
+    return ((keys >> KEY_BITS) * np.uint64(parts) >> np.uint64(32) << KEY_BITS) | keys & np.uint64((1 << 32) - 1)
 
 
 def table_entries(b: Sets, limit: Fraction, parts: int, common: np.ndarray, hot: np.ndarray, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -222,11 +224,11 @@ def near_duplicates(docs: DataFrame, *, key: str = "record_id", text: str = "tex
     may have; that budget is spread over the segments, and by the pigeonhole
     principle one segment is within its radius. For each segment, small Hamming
     balls are enumerated as table entries, entries of equal key meet, pairs are
-    checked by size and by the distance of 32-bit parity sketches, and verified
+    checked by size and by the distance of 48-bit parity sketches, and verified
     by complete distances, word for word.
 
     Scale: nothing depends on the number of sets but the number of parts. A set
-    has some 26 entries of 25 words, packed into 12 bytes each, which are
+    has some 26 entries of 25 words, packed into 13 bytes each, which are
     shuffled once, by part of the key space; a part has about ``PART_ENTRIES``
     of them whatever the data's size. Copies never meet: they are one class.
     A key whose pairs exceed ``HOT_PAIRS``, such as a campaign's common
@@ -283,8 +285,7 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: Fraction, parts: int, common
         cuts = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) > 0]))
         data = []
         for at in np.split(order, cuts[1:]):
-            low = key[at]
-            data.append(b"".join(x.tobytes() for x in (np.array([first], np.int64), (no[at] - first).astype(np.uint16), low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), size[at], sketch[at])))
+            data.append(b"".join(x.tobytes() for x in (np.array([first], np.int64), (no[at] - first).astype(np.uint16), key[at].astype(np.uint32), size[at], sketch[at].astype(np.uint32), (sketch[at] >> np.uint64(32)).astype(np.uint16))))
         return pa.RecordBatch.from_arrays([pa.array(part[order[cuts]].astype(np.int32)), pa.array(data, pa.binary())], names=["part", "data"])
 
     for batch in batches:
@@ -319,12 +320,11 @@ def _meeting(limit: Fraction, hot_pairs: int):  # noqa: ANN202
 
     def meet(part: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [d for b in batches for d in b.column("data").to_pylist()]
-        n = [(len(d) - 8) // 12 for d in blobs]
+        n = [(len(d) - 8) // 13 for d in blobs]
         read = lambda kind, skip: np.concatenate([np.frombuffer(d, kind, k, 8 + skip * k) for d, k in zip(blobs, n)])
-        low, high, size = read(np.uint32, 2), read(np.uint8, 6), read(np.uint8, 7)
         no = read(np.uint16, 0).astype(np.int64) + np.repeat([int.from_bytes(d[:8], "little") for d in blobs], n)
-        sketch = read(np.uint32, 8)
-        key = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+        key, size = read(np.uint32, 2).astype(np.uint64), read(np.uint8, 6)
+        sketch = read(np.uint32, 7).astype(np.uint64) | read(np.uint16, 11).astype(np.uint64) << np.uint64(32)
         order = np.argsort(key, kind="stable")
         key, no, size, sketch = key[order], no[order], size[order], sketch[order]
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
