@@ -76,9 +76,10 @@ def test_work_stays_in_proportion(monkeypatch):
         shared = rng.integers(0, 400, (n, 8)) + np.arange(8) * 1000  # phrases that one in 400 sets share
         shared[: n // 3] = np.arange(8)  # and one that a third share
         ws = pa.array(list(np.concatenate([rare, shared], axis=1)), pa.list_(pa.int64()))
-        common = nd.common_keys(ws[:2000], limit, 1, n / 2000, 40_000 * n // 20_000)
-        b = nd.read_sets(ws)
-        keys, times = np.unique(np.concatenate([k for k, _, _ in nd.table_entries(b, limit, 1, common, none, 0)]), return_counts=True)
+        order = nd.rarity(ws[:2000])
+        common = nd.common_keys(nd.read_sets(ws[:2000], order), limit, 1, n / 2000, 40_000 * n // 20_000)
+        b = nd.read_sets(ws, order)
+        keys, times = np.unique(np.concatenate([k for k, _, _ in nd.table_entries(b, limit, 1, nd.Splits(common, none, 0))]), return_counts=True)
         return times.sum() / n, times.max() / n
 
     (few, top_few), (many, top_many) = figures(2_000), figures(20_000)

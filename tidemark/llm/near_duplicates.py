@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 from fractions import Fraction
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.runtime import broadcast_if_small, materialize
 
-HOT_PAIRS = 1_000_000  # candidate pairs of one table entry above which it is split by a second segment
+HOT_PAIRS = 1_000_000  # candidate pairs of one table entry above which it is split by further words
 MOST_SPLITS = 4  # splits of an entry; what is hot still is compared in blocks
 BLOCK_SETS = 1_000  # sets of such a block, and copies of one class that meet in a task
 PART_ENTRIES = 2_000_000  # table entries that one task holds
@@ -20,6 +21,7 @@ SEND_ENTRIES = 1_000_000  # table entries that a task packs at a time
 SAMPLE = 20_000  # sets, at most, in which entries shared by a large share of all sets are looked for
 KEY_BITS = np.uint64(32)  # of an entry's key, beside the number of its part
 SKETCH_BITS = 48
+ONE = np.uint64(1)
 ASKS, SIZE = np.uint8(128), np.uint8(127)  # one byte: whether an entry asks, and its set's size (127: that or more)
 
 
@@ -69,10 +71,19 @@ class Sets:
         self.owner, self.flat, self.n = owner, flat, n
 
 
-def read_sets(words: pa.ListArray) -> Sets:
+NO_ORDER = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def read_sets(words: pa.ListArray, order: tuple[np.ndarray, np.ndarray] = NO_ORDER) -> Sets:
+    """Word sets with each set's words from rare to frequent: by ``order`` (words and how often), then by hash."""
     n = np.diff(words.offsets.to_numpy()).astype(np.int64)
     flat = mix64(words.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return Sets(np.repeat(np.arange(len(n)), n), flat, n)
+    owner = np.repeat(np.arange(len(n)), n)
+    known, often = order
+    if len(known):
+        at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+        flat = flat[np.lexsort((flat, np.where(known[at] == flat, often[at], 0), owner))]
+    return Sets(owner, flat, n)
 
 
 def fingerprints(b: Sets) -> np.ndarray:
@@ -82,7 +93,7 @@ def fingerprints(b: Sets) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def entries(b: Sets, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray, *, level: int = 0, base: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+def entries(b: Sets, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
     """Table entries ``(key, set, radius, deletions, segments, segment)`` of the sets ``rows``, segment by segment.
 
     A set's words fall into ``m`` segments by hash. Two sets that differ in at
@@ -90,15 +101,14 @@ def entries(b: Sets, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray,
     where the radii and one each add up to budget + 1. Within a segment the ball
     of that radius is enumerated from below: the segment's words with up to
     ``radius`` of them left out. Sets X and Y within the radius then share an
-    entry. ``base``, by set, keeps apart what must not meet. ``segments`` has
-    the segment of every word of ``b``, for splitting.
+    entry. ``segments`` has the segment of every word of ``b``, for splitting.
     """
     for c in np.unique(classes):
         m = segments_of(int(c))
         chosen = rows[classes == c]
         mine = np.zeros(len(b.n), bool)
         mine[chosen] = True
-        segment = ((mix64(b.flat + np.uint64(level + 1)) >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
+        segment = ((mix64(b.flat + ONE) >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
         words = np.flatnonzero(mine[b.owner])
         words = words[np.argsort(segment[words], kind="stable")]
         ends = np.searchsorted(segment[words], np.arange(m + 1))
@@ -111,17 +121,16 @@ def entries(b: Sets, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray,
             here = words[ends[i] : ends[i + 1]]
             sums = np.zeros(len(b.n), np.uint64)
             np.add.at(sums, b.owner[here], b.flat[here])
-            tag = np.uint64(((level << 40) + (int(c) << 32) + i + 1) * 0x9E3779B97F4A7C15 % 2**64)
-            name = lambda s, r: mix64(s + tag + (base[r] if base is not None else np.uint64(0)))  # noqa: B023, E731
-            yield name(sums[able], able), able, radius[able], np.zeros(len(able), np.int64), segment, i
+            tag = np.uint64(((int(c) << 32) + i + 1) * 0x9E3779B97F4A7C15 % 2**64)
+            yield mix64(sums[able] + tag), able, radius[able], np.zeros(len(able), np.int64), segment, i
             one = here[radius[b.owner[here]] >= 1]
             if len(one):
                 r = b.owner[one]
-                yield name(sums[r] - b.flat[one], r), r, radius[r], np.ones(len(one), np.int64), segment, i
+                yield mix64(sums[r] - b.flat[one] + tag), r, radius[r], np.ones(len(one), np.int64), segment, i
             for depth in range(2, int(radius.max(initial=0)) + 1):
                 k, r = _left_out(b, here, sums, radius, depth)
                 if len(k):
-                    yield name(k, r), r, radius[r], np.full(len(k), depth), segment, i
+                    yield mix64(k + tag), r, radius[r], np.full(len(k), depth), segment, i
 
 
 def _left_out(b: Sets, here: np.ndarray, sums: np.ndarray, radius: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,42 +156,96 @@ def short_key(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> KEY_BITS) * np.uint64(parts) >> np.uint64(32) << KEY_BITS) | keys & np.uint64((1 << 32) - 1)
 
 
-def table_entries(b: Sets, limit: Fraction, parts: int, common: np.ndarray, hot: np.ndarray, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+@dataclass
+class Path:
+    """Hot entries that are being split: the words outside their segment, and how far these were followed.
+
+    Of the ``length`` words from ``first``, in order of rarity, ``common`` ones up
+    to position ``at`` are those that a pair shares; ``apart`` may be unshared.
+    """
+
+    key: np.ndarray
+    row: np.ndarray
+    asks: np.ndarray
+    met: np.ndarray
+    first: np.ndarray
+    length: np.ndarray
+    apart: np.ndarray
+    at: np.ndarray
+    common: np.ndarray
+
+    def take(self, rows: np.ndarray) -> Path:
+        return Path(*(getattr(self, f.name)[rows] for f in fields(self)))
+
+    def children(self, words: np.ndarray) -> Path:
+        """One entry for each word that may be the next one shared, and one for no further word if that may be."""
+        last = np.minimum(self.apart + self.common, self.length - 1)
+        times = np.maximum(last - self.at, 0)
+        out = self.take(np.repeat(np.arange(len(times)), times))
+        out.at = out.at + 1 + np.arange(len(out.at)) - np.repeat(np.cumsum(times) - times, times)
+        out.common = out.common + 1
+        out.key = mix64(out.key + words[out.first + out.at])
+        end = self.take(np.flatnonzero(self.length - self.common <= self.apart))
+        end.at = end.length
+        end.key = mix64(end.key + ONE)
+        return Path(*(np.concatenate([getattr(out, f.name), getattr(end, f.name)]) for f in fields(self)))
+
+
+@dataclass
+class Splits:
+    """Which keys are split: ``common`` ones before they are sent, ``hot`` ones after they were met in an earlier turn."""
+
+    common: np.ndarray
+    hot: np.ndarray
+    turn: int
+
+
+def table_entries(b: Sets, limit: Fraction, parts: int, splits: Splits) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(key, set, asks)`` of the entries whose turn it is, hot ones split.
 
-    ``common`` and ``hot`` are sorted keys. An entry in either is split by the
-    segments of the words outside its own segment. Entries split as ``common``
-    were never met; one that is ``hot`` was met in an earlier turn, so what it is
-    split into comes in the next one. Of a pair's two entries, that with fewer
-    words left out asks; only pairs with one that asks are candidates.
+    A hot entry is split by the words outside its segment. At most ``apart`` =
+    (1 - limit) * size words of a set, less those left out already, are missing
+    in a partner, so in order of rarity the first word that both share is among
+    the first ``apart + 1`` of either: the entry is split by these, and if need
+    be by the next word shared, and so on. Entries in ``common`` were never
+    met; what a ``hot`` one is split into comes in the turn after that which met
+    it. Of a pair's two entries that with fewer words left out asks; only pairs
+    with one that asks are candidates.
     """
     p, q = limit.numerator, limit.denominator
-    budget = most_apart(b.n, limit)
+    budget, apart = most_apart(b.n, limit), b.n - -(-p * b.n // q)
     own, largest = size_class(b.n), size_class(b.n * q // p)
+    firsts = np.concatenate([[0], np.cumsum(b.n)])
     for step in range(int((largest - own).max(initial=0)) + 1):  # partners may be of a larger class
         rows = np.flatnonzero(own + step <= largest)
-        classes = own + step
-        yield from _split_hot(b, np.arange(len(b.n)), rows, budget, classes, np.zeros(len(b.n), np.int64), 0, None, parts, common, hot, turn)
-
-
-def _split_hot(b: Sets, origin: np.ndarray, rows: np.ndarray, budget: np.ndarray, classes: np.ndarray, met: np.ndarray, level: int, base: np.ndarray | None, parts: int, common: np.ndarray, hot: np.ndarray, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    firsts = np.concatenate([[0], np.cumsum(np.bincount(b.owner, minlength=len(b.n)))])
-    for k, r, radius, deleted, segment, i in entries(b, rows, budget, classes[rows], level=level, base=base):
-        key = short_key(k, parts)
-        known, seen = _within(key, common), _within(key, hot)
-        split = known | seen
-        now = ~split & (met[r] == turn)
-        if now.any():
-            yield key[now], origin[r[now]], (deleted <= radius // 2)[now]
-        at = np.flatnonzero(split & (met[r] + (seen & ~known) <= turn))
-        if len(at):
-            # each becomes a set of its own, of the words outside segment i
-            sets = r[at]
-            lengths = firsts[sets + 1] - firsts[sets]
-            words = np.repeat(firsts[sets] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-            outside = segment[words] != i
-            inner = Sets(np.repeat(np.arange(len(at)), lengths)[outside], b.flat[words[outside]], b.n[sets])
-            yield from _split_hot(inner, origin[sets], np.arange(len(at)), budget[sets] - deleted[at], classes[sets], met[sets] + (seen & ~known)[at], level + 1, k[at], parts, common, hot, turn)
+        for k, r, radius, deleted, segment, i in entries(b, rows, budget, (own + step)[rows]):
+            key, asks = short_key(k, parts), deleted <= radius // 2
+            known, seen = _within(key, splits.common), _within(key, splits.hot)
+            if splits.turn == 0 and not (known | seen).all():
+                yield key[~known & ~seen], r[~known & ~seen], asks[~known & ~seen]
+            at = np.flatnonzero((known | seen) & (deleted <= apart[r]) & ((seen & ~known) <= splits.turn))
+            if len(at):
+                sets = r[at]
+                lengths = b.n[sets]
+                words = np.repeat(firsts[sets] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+                outside = segment[words] != i
+                left = np.bincount(np.repeat(np.arange(len(at)), lengths)[outside], minlength=len(at))
+                begin = np.full(len(at), -1)
+                path = Path(k[at], sets, asks[at], (seen & ~known)[at].astype(np.int64), np.cumsum(left) - left, left, apart[sets] - deleted[at], begin, begin + 1)
+                yield from _descend(path, b.flat[words[outside]], parts, splits)
+
+
+def _descend(path: Path, words: np.ndarray, parts: int, splits: Splits) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    path = path.children(words)
+    key = short_key(path.key, parts)
+    known, seen = _within(key, splits.common), _within(key, splits.hot)
+    now = ~known & ~seen & (path.met == splits.turn)
+    if now.any():
+        yield key[now], path.row[now], path.asks[now]
+    path.met = path.met + (seen & ~known)
+    at = np.flatnonzero((known | seen) & (path.met <= splits.turn))
+    if len(at):
+        yield from _descend(path.take(at), words, parts, splits)
 
 
 def _within(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -191,11 +254,17 @@ def _within(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
-def common_keys(sample: pa.ListArray, limit: Fraction, parts: int, scale: float, hot_pairs: int) -> np.ndarray:
+def rarity(sample: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The words that at least five of the sampled sets have, sorted by hash, and how many have them."""
+    words, often = np.unique(read_sets(sample).flat, return_counts=True)
+    return words[often >= 5], often[often >= 5]
+
+
+def common_keys(sample: Sets, limit: Fraction, parts: int, scale: float, hot_pairs: int) -> np.ndarray:
     """Keys that so many sampled sets have that, at ``scale`` times as many sets, their pairs must exceed ``hot_pairs``."""
-    b, found = read_sets(sample), np.zeros(0, np.uint64)
+    found = np.zeros(0, np.uint64)
     for _ in range(MOST_SPLITS):
-        keys = [k for k, _, _ in table_entries(b, limit, parts, found, np.zeros(0, np.uint64), 0)]
+        keys = [k for k, _, _ in table_entries(sample, limit, parts, Splits(found, found[:0], 0))]
         different, times = np.unique(np.concatenate(keys), return_counts=True) if keys else (found, found)
         new = different[(times >= 20) & ((times * scale) ** 2 > 2 * hot_pairs)]
         if not len(new):
@@ -232,9 +301,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "record_id", text: str = "tex
     shuffled once, by part of the key space; a part has about ``PART_ENTRIES``
     of them whatever the data's size. Copies never meet: they are one class.
     A key whose pairs exceed ``HOT_PAIRS``, such as a campaign's common
-    phrases, is counted exactly where its entries meet and split by the segments
-    of the remaining words in the next turn, which is exact by the same
-    principle, as often as needed. Keys so common that a bounded sample shows it
+    phrases, is counted exactly where its entries meet, and split in the next
+    turn by the rarest remaining word that a pair shares, which is exact too
+    (``table_entries``), as often as needed. Keys so common that a bounded sample shows it
     are split before they are ever sent, so none fills a task. What still is hot
     after ``MOST_SPLITS`` splits differs in hardly a word, so its pairs are
     links; they are compared in blocks of ``BLOCK_SETS``, by as many tasks.
@@ -250,12 +319,13 @@ def near_duplicates(docs: DataFrame, *, key: str = "record_id", text: str = "tex
     parts = max(1, -(-total * 30 // PART_ENTRIES))
     share = min(1.0, 0.97 * SAMPLE / max(total, 1))
     sample = sets.where(F.pmod("set_id", F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select(hashes).limit(SAMPLE).toArrow()["ws"].combine_chunks()
-    common = common_keys(sample, limit, parts, total / max(len(sample), 1), hot_pairs)
+    order = rarity(sample)
+    common = common_keys(read_sets(sample, order), limit, parts, total / max(len(sample), 1), hot_pairs)
 
     pairs, hot = None, None
     for turn in range(MOST_SPLITS + 1):
         asked = sets.select("no", hashes, F.array().cast("array<bigint>").alias("hot")) if hot is None else sets.join(hot.groupBy("no").agg(F.collect_set("key").alias("hot")), "no").select("no", hashes, "hot")
-        packed = asked.mapInArrow(lambda batches, t=turn: _pack(batches, limit, parts, common, t), "part int, data binary")
+        packed = asked.mapInArrow(lambda batches, t=turn: _pack(batches, limit, parts, order, common, t), "part int, data binary")
         met = materialize(packed.groupBy("part").applyInArrow(_meeting(limit, hot_pairs), "a long, b long, key long"), "met")
         found = met.where("key IS NULL").select("a", "b")
         pairs = found if pairs is None else pairs.unionByName(found)
@@ -273,7 +343,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "record_id", text: str = "tex
     return members, materialize(links.select(F.least("set_a", "set_b").alias("set_a"), F.greatest("set_a", "set_b").alias("set_b"), (F.col("o") / (F.col("s") - F.col("o"))).alias("jaccard")), "links")
 
 
-def _pack(batches: Iterator[pa.RecordBatch], limit: Fraction, parts: int, common: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], limit: Fraction, parts: int, order: tuple[np.ndarray, np.ndarray], common: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
     """Entries as bytes by part: the first set's number, then offsets to it, keys, sizes and sketches."""
     held: list[tuple[np.ndarray, ...]] = []
     first, waiting = 0, 0
@@ -281,19 +351,19 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: Fraction, parts: int, common
     def send() -> pa.RecordBatch:
         key, no, size, sketch = (np.concatenate(x) for x in zip(*held))
         part = (key >> KEY_BITS).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) > 0]))
+        by = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], np.diff(part[by]) > 0]))
         data = []
-        for at in np.split(order, cuts[1:]):
+        for at in np.split(by, cuts[1:]):
             data.append(b"".join(x.tobytes() for x in (np.array([first], np.int64), (no[at] - first).astype(np.uint16), key[at].astype(np.uint32), size[at], sketch[at].astype(np.uint32), (sketch[at] >> np.uint64(32)).astype(np.uint16))))
-        return pa.RecordBatch.from_arrays([pa.array(part[order[cuts]].astype(np.int32)), pa.array(data, pa.binary())], names=["part", "data"])
+        return pa.RecordBatch.from_arrays([pa.array(part[by[cuts]].astype(np.int32)), pa.array(data, pa.binary())], names=["part", "data"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
         every = batch.column("no").to_numpy()
         for at in _runs(every):  # numbers of one run differ by less than 2**16
-            b, no = read_sets(batch.column("ws").take(pa.array(at))), every[at]
+            b, no = read_sets(batch.column("ws").take(pa.array(at)), order), every[at]
             hot = np.unique(batch.column("hot").take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             if held and (waiting > SEND_ENTRIES or no[0] < first or no[-1] - first >= 1 << 16):
                 yield send()
@@ -301,7 +371,7 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: Fraction, parts: int, common
             if not held:
                 first = int(no[0])
             sketch, size = fingerprints(b), np.minimum(b.n, int(SIZE)).astype(np.uint8)
-            for key, r, asks in table_entries(b, limit, parts, common, hot, turn):
+            for key, r, asks in table_entries(b, limit, parts, Splits(common, hot, turn)):
                 held.append((key, no[r], size[r] | np.where(asks, ASKS, np.uint8(0)), sketch[r]))
                 waiting += len(key)
     if held:
