@@ -1,20 +1,23 @@
-"""Queries p1, p3 and p6 to p9 on the project's tables, with oracle SQL where SQL can state them."""
+"""Queries p1, p3, p4 and p6 to p9 on the project's tables, with oracle SQL where SQL can state them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import subscriber
 from tidemark.llm.garbled import restore_text, train_dictionaries
 from tidemark.llm.leakage import leaked_passages
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_duplicates import class_links, expand_copies, near_duplicates
+from tidemark.llm.nearest_time import nearest_in_time
 from tidemark.llm.neighbours import nearest_vectors
 from tidemark.llm.repetition import fertility_bands, repetition
 from tidemark.plans.registry import Registry
 from tidemark.sources.tables import once_per_key, table
 
 REGISTRY = Registry()
+TOLERANCE_MS = 5000
 
 
 @REGISTRY.add("p3_found")
@@ -30,6 +33,40 @@ def p3_search(spark: SparkSession, base: str) -> DataFrame:
     return nearest_vectors(table(spark, base, "loaded_corpus"), k=10, queries="index % 50 = 0", probes=16).select("index", "neighbour", "rank", F.round("cosine", 6).alias("cosine"))
 
 
+SQL_PAIRS = """
+WITH x AS (SELECT DISTINCT reference, time_stamp AS ts, message_type, substr(regexp_replace(imsi, '[^0-9]', '', 'g'), 1, 15) AS who FROM ss7_transaction WHERE reference IS NOT NULL),
+y AS (SELECT * FROM x WHERE length(who) = 15 AND who <> '000000000000000' AND ts IS NOT NULL),
+r AS (SELECT l.reference AS mt_reference, s.reference AS sri_reference, abs(l.ts - s.ts) AS gap_ms,
+  row_number() OVER (PARTITION BY l.reference ORDER BY abs(l.ts - s.ts), s.ts, s.reference) AS k
+  FROM y l JOIN y s ON s.who = l.who AND l.message_type = 2 AND s.message_type = 1 AND s.ts BETWEEN l.ts - 5000 AND l.ts + 5000)
+"""
+
+
+def _requests_and_responses(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    def once(kind: int) -> DataFrame:
+        rows = table(spark, base, "ss7_transaction").where(F.col("message_type") == kind)
+        return once_per_key(rows, "reference", "create_date", ("time_stamp", "imsi")).select(F.col("reference").alias("id"), F.col("time_stamp").alias("at"), subscriber(F.col("imsi")).alias("entity"))
+
+    return once(2), once(1)
+
+
+@REGISTRY.add("p4_found", SQL_PAIRS + "SELECT mt_reference, sri_reference FROM r WHERE k = 1")
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    """Each MT request with the routing response of its subscriber nearest in time."""
+    return p4_nearest_response(spark, base).where("sri_reference IS NOT NULL").select("mt_reference", "sri_reference")
+
+
+@REGISTRY.add(
+    "p4_nearest_response",
+    SQL_PAIRS + "SELECT q.reference AS mt_reference, r.sri_reference, r.gap_ms FROM (SELECT reference FROM x WHERE message_type = 2) q LEFT JOIN r ON r.mt_reference = q.reference AND r.k = 1",
+)
+def p4_nearest_response(spark: SparkSession, base: str) -> DataFrame:
+    """The same for all MT requests; those without a response in reach bear nulls."""
+    requests, responses = _requests_and_responses(spark, base)
+    paired = nearest_in_time(requests, responses, TOLERANCE_MS)
+    return paired.select(F.col("id").alias("mt_reference"), F.col("match_id").alias("sri_reference"), F.col("gap").alias("gap_ms"))
+
+
 def _restored(spark: SparkSession, base: str) -> DataFrame:
     rows = table(spark, base, "smpp_transaction").where("smpp_operation = 4 AND app_dest_port IS NULL")
     records = once_per_key(rows, "reference", "create_date", ("content", "dcs"))
