@@ -1,21 +1,19 @@
-"""Queries p2, p4 and p5: the general training-data operators on the project's tables."""
+"""Queries p2 and p5: the general training-data operators on the project's tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import plain_number, subscriber
+from tidemark.functions.numbers import plain_number
 from tidemark.operators.entity_features import MAX_TYPES, entity_features
-from tidemark.operators.nearest_time import nearest_in_time
 from tidemark.operators.trailing import trailing_totals
 from tidemark.plans.registry import Registry
 from tidemark.runtime import broadcast_if_small
-from tidemark.sources.tables import messages, once_per_key, table
+from tidemark.sources.tables import messages, table
 
 REGISTRY = Registry()
 AS_OF = "2026-06-29T00:00:00"
-TOLERANCE_MS = 5000
 
 SQL_PLAIN = """CASE WHEN d = '' THEN NULL WHEN length(d) > 8 AND d LIKE '00%' THEN substr(d, 3) ELSE d END"""
 SQL_MESSAGES = """m AS (SELECT DISTINCT record_id, sender_id, "timestamp" AS ts, regexp_replace(destination, '[^0-9]', '', 'g') AS d FROM canonical_row WHERE record_id IS NOT NULL)"""
@@ -45,39 +43,6 @@ def p2_trailing_totals(spark: SparkSession, base: str) -> DataFrame:
     return trailing_totals(events).withColumnsRenamed(names)
 
 
-SQL_PAIRS = """
-WITH x AS (SELECT DISTINCT reference, time_stamp AS ts, message_type, substr(regexp_replace(imsi, '[^0-9]', '', 'g'), 1, 15) AS who FROM ss7_transaction WHERE reference IS NOT NULL),
-y AS (SELECT * FROM x WHERE length(who) = 15 AND who <> '000000000000000' AND ts IS NOT NULL),
-r AS (SELECT l.reference AS mt_reference, s.reference AS sri_reference, abs(l.ts - s.ts) AS gap_ms,
-  row_number() OVER (PARTITION BY l.reference ORDER BY abs(l.ts - s.ts), s.ts, s.reference) AS k
-  FROM y l JOIN y s ON s.who = l.who AND l.message_type = 2 AND s.message_type = 1 AND s.ts BETWEEN l.ts - 5000 AND l.ts + 5000)
-"""
-
-
-def _requests_and_responses(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    rows = table(spark, base, "ss7_transaction").where(F.col("message_type").isin(1, 2))
-    once = once_per_key(rows, "reference", "create_date", ("time_stamp", "imsi", "message_type"))
-    shaped = once.select(F.col("reference").alias("id"), F.col("time_stamp").alias("at"), subscriber(F.col("imsi")).alias("entity"), "message_type")
-    return shaped.where("message_type = 2"), shaped.where("message_type = 1")
-
-
-@REGISTRY.add("p4_found", SQL_PAIRS + "SELECT mt_reference, sri_reference FROM r WHERE k = 1")
-def p4_found(spark: SparkSession, base: str) -> DataFrame:
-    """Each MT request with the routing response of its subscriber nearest in time."""
-    return p4_nearest_response(spark, base).where("sri_reference IS NOT NULL").select("mt_reference", "sri_reference")
-
-
-@REGISTRY.add(
-    "p4_nearest_response",
-    SQL_PAIRS + "SELECT q.reference AS mt_reference, r.sri_reference, r.gap_ms FROM (SELECT reference FROM x WHERE message_type = 2) q LEFT JOIN r ON r.mt_reference = q.reference AND r.k = 1",
-)
-def p4_nearest_response(spark: SparkSession, base: str) -> DataFrame:
-    """The same for all MT requests; those without a response in reach bear nulls."""
-    requests, responses = _requests_and_responses(spark, base)
-    paired = nearest_in_time(requests, responses, TOLERANCE_MS)
-    return paired.select(F.col("id").alias("mt_reference"), F.col("match_id").alias("sri_reference"), F.col("gap").alias("gap_ms"))
-
-
 SQL_FEATURES = f"""
 WITH {SQL_MESSAGES},
 e AS (SELECT sender_id, ts, {SQL_PLAIN} AS item FROM m WHERE sender_id IS NOT NULL),
