@@ -10,7 +10,7 @@ import pytest
 
 from tidemark.llm.leakage import leaked_passages
 from tidemark.llm.mixing import count_tokens, mix
-from tidemark.llm.repetition import fertility_bands, repeated_share, repetition, script_of
+from tidemark.llm.repetition import fertility, fertility_bands, repeated_sequences, repeated_share, repeated_shares, script_of
 from tidemark.llm.tokens import TOKENIZERS, byte_bpe
 
 
@@ -119,24 +119,30 @@ def texts():
 
 
 def test_repetition(spark):
-    rows = list(enumerate(texts()))
-    df = spark.createDataFrame([(*r, None if r[0] % 3 else "EN", 1) for r in rows], "doc_id long, text string, lang string, tokens int")
-    got = {r["doc_id"]: r for r in repetition(df).collect()}
-    exact = {r["doc_id"]: r["repeated_share"] for r in repetition(df, reject_at=0.0).collect()}
+    rows = list(enumerate(texts())) + [(None, "spam and eggs " * 40)]
+    df = spark.createDataFrame([(*r, None if i % 3 else "EN", 1) for i, r in enumerate(rows)], "doc_id long, text string, lang string, tokens int")
+    exact = {r["doc_id"]: r for r in repeated_shares(df).collect()}
     for i, t in rows:
-        want = brute_share(t)
-        assert exact[i] == want and got[i]["n_words"] == len(ws(t))
-        if want is not None and want >= 0.3:  # the band never rejects a case
-            assert got[i]["in_band"] and got[i]["repeated_share"] == want
-        elif want is not None and not got[i]["in_band"]:
-            assert got[i]["repeated_share"] is None
-    assert any(got[i]["in_band"] is False for i, _ in rows)
-    banded = fertility_bands(repetition(df))
-    assert banded.count() == len(rows) and {r["band"] for r in banded.collect()} >= {"en", "script:Latin", "script:none"}
+        assert exact[i]["repeated_share"] == brute_share(t) and exact[i]["n_words"] == len(ws(t))
+    banded = {r["doc_id"]: r for r in fertility_bands(fertility(df)).collect()}
+    assert len(banded) == len(rows) and {r["band"] for r in banded.values()} >= {"en", "script:Latin", "script:none"}
+    cases = {i for i, t in rows if i is not None and len(ws(t)) >= 50 and brute_share(t) >= 0.3}
+    assert cases and not any(banded[i]["rejected"] for i in cases) and any(r["rejected"] for r in banded.values())
+    assert {r["doc_id"] for r in repeated_sequences(df).collect()} == cases
+
+
+def test_fertility_is_that_of_whole_texts(spark):
+    from tidemark.llm.tokens import TOKENIZERS, piece_bpe
+
+    sp, rows = piece_bpe(TOKENIZERS), [(i, t) for i, t in enumerate([*texts(), " a", "a ", "a  b", "a b\n c\t d", "中文字" * 50 + " x"])]
+    got = {r["doc_id"]: r for r in fertility(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert got[i]["tokens"] == (len(sp.encode(t)) if t else 0) and got[i]["n_words"] == len(ws(t))
 
 
 def test_repetition_empty(spark):
-    assert fertility_bands(repetition(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert fertility_bands(fertility(none)).count() == 0 and repeated_sequences(none).count() == 0
 
 
 @pytest.mark.parametrize("text,script", [("abc", "Latin"), ("12", None), ("Привет a", "Cyrillic"), ("中文字", "Han"), ("", None)])

@@ -12,7 +12,7 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.near_duplicates import class_links, expand_copies, near_duplicates
 from tidemark.llm.nearest_time import nearest_in_time
 from tidemark.llm.neighbours import nearest_vectors
-from tidemark.llm.repetition import fertility_bands, repetition
+from tidemark.llm.repetition import fertility, fertility_bands, repeated_sequences, repeated_shares
 from tidemark.plans.registry import Registry
 from tidemark.sources.tables import once_per_key, table
 
@@ -136,23 +136,23 @@ s AS (SELECT doc_id, any_value(n_words) AS n_words, (count(*) - count(DISTINCT g
 @REGISTRY.add("p9_found", SQL_REPEATS + "SELECT doc_id FROM s WHERE n_words >= 50 AND repeated_share >= 0.3")
 def p9_found(spark: SparkSession, base: str) -> DataFrame:
     """Documents of at least 50 words in which at least 0.30 of the five-word sequences are repeats."""
-    return repetition(table(spark, base, "documents"), report=False).where("doc_id IS NOT NULL AND n_words >= 50 AND in_band AND repeated_share >= 0.30").select("doc_id")
+    return repeated_sequences(table(spark, base, "documents")).select("doc_id").distinct()
 
 
 @REGISTRY.add(
     "p9_repetition",
-    SQL_REPEATS.replace("s AS (", "s AS (") + "SELECT d.doc_id, len(d.ws) AS n_words, s.repeated_share FROM d LEFT JOIN s ON s.doc_id = d.doc_id",
+    SQL_REPEATS + "SELECT d.doc_id, len(d.ws) AS n_words, s.repeated_share FROM d LEFT JOIN s ON s.doc_id = d.doc_id",
 )
 def p9_repetition(spark: SparkSession, base: str) -> DataFrame:
-    """The share of repeated five-word sequences of every document, without the band's screening."""
-    return repetition(table(spark, base, "documents"), reject_at=0.0, report=False).where("doc_id IS NOT NULL").select("doc_id", "n_words", "repeated_share")
+    """The share of repeated five-word sequences of every document, without any screening."""
+    return repeated_shares(table(spark, base, "documents").where("doc_id IS NOT NULL"))
 
 
 @REGISTRY.add("p9_fertility")
 def p9_fertility(spark: SparkSession, base: str) -> DataFrame:
-    """Tokeniser fertility of every document, with the measures outside its language's or script's band."""
-    measured = fertility_bands(repetition(table(spark, base, "documents")))
-    return measured.select("doc_id", "band", "tokens", F.round("chars_per_token", 6).alias("chars_per_token"), F.round("byte_share", 6).alias("byte_share"), F.round("token_entropy", 6).alias("token_entropy"), F.concat_ws(",", "odd").alias("odd"))
+    """Tokeniser fertility of every document, with the measures outside its language's or script's band, and whether the bands reject it."""
+    measured = fertility_bands(fertility(table(spark, base, "documents")))
+    return measured.select("doc_id", "band", "tokens", F.round("chars_per_token", 6).alias("chars_per_token"), F.round("byte_share", 6).alias("byte_share"), F.round("token_entropy", 6).alias("token_entropy"), F.round("missing_bits", 6).alias("missing_bits"), F.round("limit", 6).alias("limit"), "rejected", F.concat_ws(",", "odd").alias("odd"))
 
 
 SQL_SETS = """
