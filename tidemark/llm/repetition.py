@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -85,10 +86,12 @@ def script_of(text: str) -> str | None:
     """The script of most letters of ``text``; of equally frequent ones the first in code point order."""
     if text.isascii():
         return "Latin" if any(c.isalpha() for c in text) else None
-    points = np.array([ord(c) for c in text if c.isalpha()])
+    points, times = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
+    letters = np.array([chr(c).isalpha() for c in points.tolist()])
+    points, times = points[letters], times[letters]
     if not len(points):
         return None
-    counts = [("Latin", int((points < 0x370).sum()))] + [(name, int(((points >= a) & (points <= b)).sum())) for name, a, b in SCRIPTS]
+    counts = [("Latin", int(times[points < 0x370].sum()))] + [(name, int(times[(points >= a) & (points <= b)].sum())) for name, a, b in SCRIPTS]
     return max(counts, key=lambda x: x[1])[0] if max(c for _, c in counts) else "Other"
 
 
@@ -149,20 +152,32 @@ def fertility_bands(measured: DataFrame, *, reject_at: float = 0.30, spread: flo
 
 def _measure(batches: Iterator[pa.RecordBatch], key: str, n: int, folder: str) -> Iterator[pa.RecordBatch]:
     sp, is_byte = piece_bpe(folder), piece_kinds(folder)
-    memo: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    memo: dict[str, tuple[list[int], list[int], list[int]]] = {}
+    known: dict[str, list[int]] = {}
 
-    def tokens(piece: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The piece's tokens, its words' tokens, and how many each word has."""
-        got = memo.get(piece)
+    def word(w: str) -> list[int]:
+        got = known.get(w)
         if got is None:
-            own = [sp.encode(w.lower()) for w in _WORD.findall(piece)]
-            got = np.array(sp.encode(piece), np.int64), np.array([t for w in own for t in w], np.uint64), np.array([len(w) for w in own], np.int64)
-            if len(piece) <= MEMO_CHARS:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                memo[piece] = got
+            if len(known) >= MEMO:
+                known.clear()
+            got = known[w] = sp.encode(w)
         return got
 
+    def tokens(piece: str) -> tuple[list[int], list[int], list[int]]:
+        """The piece's tokens, its words' tokens, and how many each word has."""
+        found = _WORD.findall(piece)
+        if len(found) == 1 and found[0] == piece and piece.islower():
+            ids = own = word(piece)
+            lengths = [len(own)]
+        else:
+            each = [word(w.lower()) for w in found]
+            ids, own, lengths = sp.encode(piece), [t for w in each for t in w], [len(w) for w in each]
+        if len(piece) <= MEMO_CHARS:
+            if len(memo) >= MEMO:
+                memo.clear()
+            memo[piece] = ids, own, lengths
+        return ids, own, lengths
+
     for batch in batches:
         out: dict[str, list] = {f.split()[0]: [] for f in FIELDS.split(", ")}
         for text in batch.column("text").to_pylist():
@@ -170,7 +185,8 @@ def _measure(batches: Iterator[pa.RecordBatch], key: str, n: int, folder: str) -
                 for column, v in zip(out.values(), (0, 0, *[None] * 6)):
                     column.append(v)
                 continue
-            ids, flat, lengths = (np.concatenate(x) for x in zip(*map(tokens, text.split(" "))))
+            pieces = [memo.get(piece) or tokens(piece) for piece in text.split(" ")]
+            ids, flat, lengths = (np.fromiter(chain.from_iterable(p[i] for p in pieces), kind) for i, kind in enumerate((np.int64, np.uint64, np.int64)))
             if "  " in text or text[0] == " " or text[-1] == " ":  # blanks beside each other are tokens of their own
                 ids = np.array(sp.encode(text), np.int64)
             missing = rate = None
