@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from tidemark.llm.neighbours import balanced_parts, nearest_vectors
 
@@ -64,12 +65,14 @@ def test_parts_are_balanced():
     assert sizes.max() <= np.ceil(2000 / 16 * 1.1) and (labels[graph] == labels[:, None]).mean() > 0.6
 
 
-def test_visits_follow_the_number_of_parts(spark):
+@pytest.mark.parametrize("sample", [4200, 1000])
+def test_visits_follow_the_number_of_parts(spark, sample):
+    """With 1,000 sampled vectors, 66 parts need two levels."""
     x = clustered(6000, 7).astype(np.float32)
     df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "index long, vector array<float>")
     want = brute(x.astype(np.float64), 10)
     got = {}
-    for r in nearest_vectors(df, part_rows=90, probes=1, sample=4200, queries="index % 10 = 0").collect():
+    for r in nearest_vectors(df, part_rows=90, probes=1, sample=sample, queries="index % 10 = 0").collect():
         got.setdefault(r["index"], set()).add(r["neighbour"])
     recall = np.mean([len(got[i] & set(want[i])) / 10 for i in range(0, 6000, 10)])
     assert recall >= 0.9, recall

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.runtime import materialize
+from tidemark.runtime import broadcast_if_small, materialize
 
 SAMPLE = 16_384  # vectors the partitioner and its classifier are fitted on, at most
 PART_ROWS = 2_000  # rows a part should have
@@ -29,6 +30,10 @@ class Router:
     w2: np.ndarray
     b2: np.ndarray
 
+    @property
+    def parts(self) -> int:
+        return self.w2.shape[1]
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
@@ -39,6 +44,39 @@ class Router:
         return np.take_along_axis(best, np.argsort(-np.take_along_axis(s, best, 1), axis=1, kind="stable"), 1)
 
 
+@dataclass
+class TwoLevels:
+    """A classifier to coarse parts, and one for each of these to its own parts, numbered through."""
+
+    first: Router
+    second: list[Router]
+
+    def __post_init__(self) -> None:
+        self.begin = np.concatenate([[0], np.cumsum([r.parts for r in self.second])])
+        self.parts = int(self.begin[-1])
+
+    def top(self, x: np.ndarray, probes: int) -> np.ndarray:
+        """The parts of the largest product of both classifiers' probabilities, among those of the likeliest coarse parts."""
+        chance = _log_softmax(self.first.scores(x))
+        coarse = self.first.top(x, min(self.first.parts, 2 * probes + 8))
+        widest = max(r.parts for r in self.second)
+        joint = np.full((len(x), coarse.shape[1], widest), -np.inf, np.float32)
+        for part in np.unique(coarse):
+            row, at = np.nonzero(coarse == part)
+            inner = _log_softmax(self.second[part].scores(x[row]))
+            joint[row, at, : inner.shape[1]] = inner + chance[row, part][:, None]
+        joint = joint.reshape(len(x), -1)
+        probes = min(probes, int(np.isfinite(joint).sum(axis=1).min(initial=self.parts)))
+        best = np.argpartition(-joint, probes - 1, axis=1)[:, :probes]
+        best = np.take_along_axis(best, np.argsort(-np.take_along_axis(joint, best, 1), axis=1, kind="stable"), 1)
+        return self.begin[np.take_along_axis(coarse, best // widest, 1)] + best % widest
+
+
+def _log_softmax(s: np.ndarray) -> np.ndarray:
+    s = s - s.max(axis=1, keepdims=True)
+    return s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+
+
 def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None = None, queries: str | None = None, probes: int = 8, recall: float = 0.9, sample: int = SAMPLE, part_rows: int = PART_ROWS, seed: int = 5) -> DataFrame:
     """The ``k`` most similar other vectors of each query vector, by cosine.
 
@@ -64,8 +102,13 @@ def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None
     visited as those need to find ``recall`` of their neighbours, with two
     standard errors to spare.
 
-    The number of parts follows the rows (``rows / part_rows``, at most one per
-    64 sampled rows; raise ``sample`` for more). Parts that turn out large, for
+    The number of parts follows the rows (``rows / part_rows``). Where that is
+    more than one per 64 sampled rows, there are two levels: about the square
+    root of that many coarse parts, each with a classifier of its own to as many
+    parts as its rows need, fitted in parallel on at most ``sample`` of them (so
+    some 130 million vectors with the defaults before parts grow). A vector
+    is written once with the list of parts it visits, and copied only into
+    the shuffle. Parts that turn out large, for
     example by masses of copies, are cut into blocks of at most 4,096 items and
     16,384 queries, and every block of queries meets every block of items of
     its part, so no group is ever unbounded and none is cut off.
@@ -89,26 +132,31 @@ def nearest_vectors(vectors: DataFrame, *, k: int = 10, min_cosine: float | None
     share = min(1.0, sample * 0.97 / rows)
     chosen = known.where(below(seed, share)).limit(sample).select("vector").toArrow()
     x = _unit(chosen["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, lengths["d"]))
-    parts = int(max(1, min(rows // part_rows, len(x) // 64)))
-    router = fit_router(x, parts, seed)
+    wanted, most = max(1, rows // part_rows), max(1, len(x) // 64)
+    if wanted <= most:
+        router: Router | TwoLevels = fit_router(x, wanted, seed)
+    else:
+        router = _two_levels(known, fit_router(x, min(most, int(np.ceil(wanted**0.5))), seed), rows, sample, part_rows, seed)
+    parts = router.parts
     floor = -2.0 if min_cosine is None else min_cosine
     if held is not None and len(held) and parts > probes:
         probes = max(probes, _enough_probes(usable, held, router, k, floor, recall))
     routed = materialize(_route(usable.withColumn("asks", ask), router, probes), "routed")
+    visits = routed.select("index", "vector", F.posexplode("parts").alias("visit", "part"), "asks").withColumn("home", F.col("visit") == 0)
 
-    load = routed.groupBy("part").agg(F.count(F.when(F.col("home"), 1)).alias("items"), F.count(F.when(F.col("asks"), 1)).alias("queries"))
+    load = visits.groupBy("part").agg(F.count(F.when(F.col("home"), 1)).alias("items"), F.count(F.when(F.col("asks"), 1)).alias("queries"))
     blocks = load.select("part", F.ceil(F.col("items") / BLOCK_ITEMS).cast("int").alias("ib"), F.ceil(F.col("queries") / BLOCK_QUERIES).cast("int").alias("qb")).where("ib > 0 AND qb > 0")
-    placed = routed.join(F.broadcast(blocks), "part")  # one row per part: at most sample / 64
+    placed = visits.join(broadcast_if_small(blocks), "part")
     of = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "index"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ("part", "i", "q", "index", "vector")
     items = placed.where("home").withColumn("i", of("ib", 1)).withColumn("q", all_of("qb")).select(*[F.col(c).alias(c) for c in columns])
     asked = placed.where("asks").withColumn("q", of("qb", 2)).withColumn("i", all_of("ib")).select(*[F.col(c).alias(c) for c in columns])
 
-    def block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def block(a: pa.Table, b: pa.Table) -> pa.Table:
         return _rerank(a, b, k, floor)
 
-    found = asked.groupBy("part", "i", "q").cogroup(items.groupBy("part", "i", "q")).applyInPandas(block, "index long, neighbour long, cosine double")
+    found = asked.groupBy("part", "i", "q").cogroup(items.groupBy("part", "i", "q")).applyInArrow(block, "index long, neighbour long, cosine double")
     order = Window.partitionBy("index").orderBy(F.desc("cosine"), "neighbour")
     once = found.groupBy("index", "neighbour").agg(F.max("cosine").alias("cosine"))
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -120,22 +168,49 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def _route(df: DataFrame, router: Router, probes: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _matrix(vectors: pa.ListArray | pa.ChunkedArray, kind: type = np.float32) -> np.ndarray:
+    """Vectors of one length as rows."""
+    flat = (vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors).flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(vectors), -1).astype(kind)
+
+
+def _route(df: DataFrame, router: Router | TwoLevels, probes: int) -> DataFrame:
+    """``index, vector, asks`` with the ``parts`` to visit, likeliest first; only the first one for rows that do not ask."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not len(b):
-                continue
-            x = _unit(np.array(b["vector"].tolist(), dtype=np.float32))
-            top = router.top(x, probes)
-            asks = b["asks"].to_numpy(dtype=bool)
-            for j in range(top.shape[1]):
-                keep = np.ones(len(b), bool) if j == 0 else asks
-                yield pd.DataFrame({"index": b["index"][keep], "vector": b["vector"][keep], "part": top[keep, j].astype(np.int32), "home": j == 0, "asks": asks[keep]})
+            if b.num_rows:
+                top = router.top(_unit(_matrix(b.column("vector"))), probes).astype(np.int32)
+                length = np.where(b.column("asks").to_numpy(zero_copy_only=False).astype(bool), top.shape[1], 1)
+                parts = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length)]).astype(np.int32), pa.array(top[np.arange(top.shape[1])[None, :] < length[:, None]]))
+                yield pa.RecordBatch.from_arrays([b.column("index"), b.column("vector"), b.column("asks"), parts], names=["index", "vector", "asks", "parts"])
+
+    return df.select("index", "vector", "asks").mapInArrow(run, "index long, vector array<float>, asks boolean, parts array<int>")
+
+
+def _two_levels(known: DataFrame, first: Router, rows: int, sample: int, part_rows: int, seed: int) -> TwoLevels:
+    """Fits one classifier for each coarse part, on at most ``sample`` of its rows each, in parallel.
+
+    What comes to the driver is ``first.parts`` models of bounded size.
+    """
+    draw = lambda salt: F.pmod(F.xxhash64(F.lit(salt), "index"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    share = min(1.0, 1.2 * 64 / part_rows)
+    chosen = _route(known.where(draw(seed + 2) < share).withColumn("asks", F.lit(False)), first, 1).select(F.col("parts")[0].alias("part"), "index", "vector")
+    chosen = materialize(chosen, "coarse")
+    sizes = chosen.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    drawn = chosen.join(broadcast_if_small(sizes), "part").where(draw(seed + 3) < F.lit(float(sample)) / F.col("n"))
+
+    def fit(part: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        x = _unit(_matrix(t["vector"]))
+        parts = max(1, min(int(np.ceil(t["n"][0].as_py() / share / part_rows)), len(x) // 64))
+        return pa.table({"part": pa.array([part[0].as_py()], pa.int32()), "model": pa.array([pickle.dumps(fit_router(x, parts, seed))], pa.binary())})
 
-    return df.mapInPandas(run, "index long, vector array<float>, part int, home boolean, asks boolean")
+    fitted = {r["part"]: pickle.loads(r["model"]) for r in drawn.groupBy("part").applyInArrow(fit, "part int, model binary").collect()}
+    single = fit_router(np.zeros((1, first.w1.shape[0]), np.float32), 1, seed)
+    return TwoLevels(first, [fitted.get(p, single) for p in range(first.parts)])
 
 
-def _enough_probes(usable: DataFrame, held: pd.DataFrame, router: Router, k: int, floor: float, recall: float) -> int:
+def _enough_probes(usable: DataFrame, held, router: Router | TwoLevels, k: int, floor: float, recall: float) -> int:  # noqa: ANN001
     """The fewest parts with which the rows of ``held`` find ``recall`` of their true neighbours; all parts if none are fewer.
 
     Every row meets ``held``; a batch keeps its ``k`` nearest of each, so at most
@@ -144,29 +219,31 @@ def _enough_probes(usable: DataFrame, held: pd.DataFrame, router: Router, k: int
     """
     asked, same = _unit(np.array(held["vector"].tolist(), dtype=np.float32)), held["index"].to_numpy()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if len(b):
-                ids = b["index"].to_numpy()
-                x = _unit(np.array(b["vector"].tolist(), dtype=np.float32))
+            if b.num_rows:
+                ids = b.column("index").to_numpy()
+                x = _unit(_matrix(b.column("vector")))
                 cos = asked @ x.T
                 cos[same[:, None] == ids[None, :]] = -3
-                best = np.argpartition(-cos, min(k, len(b)) - 1, axis=1)[:, :k]
+                best = np.argpartition(-cos, min(k, len(ids)) - 1, axis=1)[:, :k]
                 r = np.repeat(np.arange(len(same)), best.shape[1])
                 c = best.ravel()
                 keep = cos[r, c] > -2.5
                 r, c = r[keep], c[keep]
-                yield pd.DataFrame({"held": r, "neighbour": ids[c], "cosine": cos[r, c].astype(np.float64), "part": router.top(x, 1)[c, 0].astype(np.int32)})
+                yield pa.RecordBatch.from_arrays([pa.array(r), pa.array(ids[c]), pa.array(cos[r, c].astype(np.float64)), pa.array(router.top(x, 1)[c, 0].astype(np.int32))], names=["held", "neighbour", "cosine", "part"])
 
-    near = usable.mapInPandas(run, "held long, neighbour long, cosine double, part int")
+    near = usable.mapInArrow(run, "held long, neighbour long, cosine double, part int")
     order = Window.partitionBy("held").orderBy(F.desc("cosine"), "neighbour")
     true = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).toPandas()
-    parts = router.w2.shape[1]
+    parts = router.parts
     if (true["cosine"] >= floor).sum() >= 100:
         true = true[true["cosine"] >= floor]
     if not len(true):
         return parts
-    visits = np.argsort(router.top(asked, parts), axis=1)
+    order_of = router.top(asked, parts)
+    visits = np.full((len(asked), parts), parts)
+    np.put_along_axis(visits, order_of, np.arange(order_of.shape[1])[None, :], 1)
     at = visits[true["held"].to_numpy(), true["part"].to_numpy()]  # the visit in which each neighbour is met
     _, row = np.unique(true["held"].to_numpy(), return_inverse=True)
     n = np.bincount(row)
@@ -179,21 +256,17 @@ def _enough_probes(usable: DataFrame, held: pd.DataFrame, router: Router, k: int
     return parts
 
 
-def _rerank(asked: pd.DataFrame, items: pd.DataFrame, k: int, floor: float) -> pd.DataFrame:
+def _rerank(asked: pa.Table, items: pa.Table, k: int, floor: float) -> pa.Table:
     """Exact top ``k`` of one block of queries in one block of items, with cosines in double."""
     if not len(asked) or not len(items):
-        return pd.DataFrame({"index": np.zeros(0, np.int64), "neighbour": np.zeros(0, np.int64), "cosine": np.zeros(0)})
-    items = items.sort_values("index")
-    ids = items["index"].to_numpy()
-    x = np.array(items["vector"].tolist(), dtype=np.float64)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+        return pa.table({"index": pa.array([], pa.int64()), "neighbour": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
+    items = items.sort_by("index")
+    ids, askers = items["index"].to_numpy(), asked["index"].to_numpy()
+    x, queries = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (_matrix(t["vector"], np.float64) for t in (items, asked)))
     x32 = x.astype(np.float32)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for start in range(0, len(asked), 1024):
-        part = asked.iloc[start : start + 1024]
-        q = np.array(part["vector"].tolist(), dtype=np.float64)
-        q /= np.linalg.norm(q, axis=1, keepdims=True)
-        qid = part["index"].to_numpy()
+        q, qid = queries[start : start + 1024], askers[start : start + 1024]
         rough = q.astype(np.float32) @ x32.T
         rough[qid[:, None] == ids[None, :]] = -3
         # everything that may tie with the k-th stays in until cosines are exact
@@ -207,7 +280,7 @@ def _rerank(asked: pd.DataFrame, items: pd.DataFrame, k: int, floor: float) -> p
         nth = np.arange(len(r)) - np.searchsorted(r, r)
         first = nth < k
         out.append((qid[r[first]], ids[c[first]], cos[first]))
-    return pd.DataFrame({"index": np.concatenate([o[0] for o in out]), "neighbour": np.concatenate([o[1] for o in out]), "cosine": np.concatenate([o[2] for o in out])})
+    return pa.table({name: np.concatenate([o[i] for o in out]) for i, name in enumerate(("index", "neighbour", "cosine"))})
 
 
 def fit_router(x: np.ndarray, parts: int, seed: int, *, graph_k: int = 10, hidden: int = 128, epochs: int = 12) -> Router:

@@ -20,14 +20,22 @@ REGISTRY = Registry()
 TOLERANCE_MS = 5000
 
 
-@REGISTRY.add("p3_found")
+SQL_NEAREST = """
+WITH v AS (SELECT "index", vector::DOUBLE[] AS v FROM loaded_corpus WHERE "index" IS NOT NULL AND len(vector) = 64 AND len(list_filter(vector, lambda x: x <> 0)) > 0),
+u AS (SELECT "index", list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM v),
+c AS (SELECT a."index", b."index" AS neighbour, list_dot_product(a.u, b.u) AS cosine FROM u a JOIN u b ON a."index" <> b."index"),
+r AS (SELECT *, row_number() OVER (PARTITION BY "index" ORDER BY cosine DESC, neighbour) AS rank FROM c)
+"""
+
+
+@REGISTRY.add("p3_found", SQL_NEAREST + 'SELECT DISTINCT least("index", neighbour) AS index_a, greatest("index", neighbour) AS index_b FROM r WHERE rank <= 10 AND cosine >= 0.90')
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
     """Pairs of entries of which one is among the other's 10 most similar, with a cosine of 0.90 or more."""
     near = nearest_vectors(table(spark, base, "loaded_corpus"), k=10, min_cosine=0.90)
     return near.select(F.least("index", "neighbour").alias("index_a"), F.greatest("index", "neighbour").alias("index_b")).distinct()
 
 
-@REGISTRY.add("p3_search")
+@REGISTRY.add("p3_search", SQL_NEAREST + 'SELECT "index", neighbour, rank::INTEGER AS rank, round(cosine, 6) AS cosine FROM r WHERE rank <= 10 AND "index" % 50 = 0')
 def p3_search(spark: SparkSession, base: str) -> DataFrame:
     """The 10 most similar entries, at any cosine, of each entry whose index is divisible by 50."""
     return nearest_vectors(table(spark, base, "loaded_corpus"), k=10, queries="index % 50 = 0", probes=16).select("index", "neighbour", "rank", F.round("cosine", 6).alias("cosine"))
