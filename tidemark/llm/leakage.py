@@ -29,11 +29,11 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
 
     Prefix-filtered set join. A window is the set of its ``run-n+1`` ``n``-word
     shingles, all of which a containing document must have, so a prefix of one
-    shingle is enough: the rarest in the corpus. Frequencies are counted over
-    every document. Only shingles of items are ever shuffled: documents'
-    shingles are first reduced to those that start some window's prefix
-    (broadcast if the items' dictionary is small by count, shuffled if not).
-    A hit fixes where the window would have to lie in the document; windows
+    shingle is enough: the rarest in the corpus. Every document is cut once, and
+    the places of items' shingles in it are written (their dictionary is
+    broadcast if it is small by count, shuffled if not); frequencies are counted
+    over all of them, and then only those that are some window's prefix are
+    joined. A hit fixes where the window would have to lie in the document; windows
     that would overhang its ends are dropped (length and positional bounds),
     and the rest are verified word for word.
     """
@@ -45,8 +45,9 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     known = broadcast_if_small(item_shingles.select("sh").distinct(), 1_000_000)
     doc_words = w(docs, "doc_id")
 
-    # rarity of the items' shingles in the whole corpus
-    rarity = materialize(shingle_places(doc_words, [], n, different=True).select("sh").join(known, "sh", "left_semi").groupBy("sh").agg(F.count(F.lit(1)).alias("df")), "rarity")
+    # where the items' shingles are in the whole corpus, and how rare that makes them
+    places = materialize(shingle_places(doc_words, ["doc_id"], n).join(known, "sh", "left_semi"), "places")
+    rarity = places.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
     ranked = item_shingles.join(broadcast_if_small(rarity, 500_000), "sh", "left").select("text_no", "ws", "at", "sh", F.coalesce("df", F.lit(0)).alias("df"))
     starts = F.sequence(F.greatest(F.lit(0), F.col("at") - per_window + 1), F.least(F.col("at"), F.size("ws") - run))
     windows = (
@@ -61,17 +62,18 @@ def leaked_passages(items: DataFrame, docs: DataFrame, *, run: int = 12, n: int
     totals = every.groupBy("item_id").agg(F.count_distinct("passage").alias("all_windows"))
     prefixes = materialize(windows.join(every, ["text_no", "start"]).select("item_id", "sh", "offset", "passage").distinct(), "prefixes")
 
-    met = shingle_places(doc_words, ["doc_id"], n).join(broadcast_if_small(prefixes, 200_000), "sh")
+    met = places.join(broadcast_if_small(prefixes, 200_000), "sh")
     begin = F.col("at") - F.col("offset")
     hits = materialize(met.where((begin >= 0) & (begin + run <= F.col("n_words"))).select("doc_id", "item_id", begin.alias("begin"), "passage"), "hits")
-    suspects = docs.select("doc_id", "text").join(broadcast_if_small(hits, 200_000), "doc_id").withColumn("ws", words(F.col("text")))  # only texts that were hit are cut into words again
-    held = suspects.where((F.col("begin") + run <= F.size("ws")) & (passages("begin") == F.col("passage")))
+    suspects = docs.select("doc_id", "text").join(broadcast_if_small(hits.select("doc_id").distinct(), 200_000), "doc_id", "left_semi")
+    cut = suspects.select("doc_id", words(F.col("text")).alias("ws"))  # once per text that was hit, before it meets its hits
+    held = cut.join(broadcast_if_small(hits, 200_000), "doc_id").where((F.col("begin") + run <= F.size("ws")) & (passages("begin") == F.col("passage")))
     pairs = held.groupBy("item_id", "doc_id").agg(F.count_distinct("passage").alias("windows"))
     return pairs.join(broadcast_if_small(totals), "item_id").select("item_id", "doc_id", "windows", (F.col("windows") / F.col("all_windows")).alias("share"))
 
 
-def shingle_places(df: DataFrame, keep: list[str], n: int, *, different: bool = False) -> DataFrame:
-    """The ``n``-word shingles of ``ws``, one per row: ``*keep, n_words, at, sh``; with ``different`` each of a row once.
+def shingle_places(df: DataFrame, keep: list[str], n: int) -> DataFrame:
+    """The ``n``-word shingles of ``ws``, one per row: ``*keep, n_words, at, sh``.
 
     ``sh`` is a rolling combination of the words' 64-bit hashes, computed for
     whole Arrow batches at a time and sent on in slices of bounded size. Equal
@@ -86,12 +88,12 @@ def shingle_places(df: DataFrame, keep: list[str], n: int, *, different: bool =
             cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE_WORDS)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(lengths)]):
                 if hi > lo:
-                    yield _roll(b.slice(lo, hi - lo), keep, n, different)
+                    yield _roll(b.slice(lo, hi - lo), keep, n)
 
     return df.select(*keep, F.transform("ws", lambda w: F.xxhash64(w)).alias("_h")).mapInArrow(run, schema)
 
 
-def _roll(b: pa.RecordBatch, keep: list[str], n: int, different: bool) -> pa.RecordBatch:
+def _roll(b: pa.RecordBatch, keep: list[str], n: int) -> pa.RecordBatch:
     lists = b.column("_h")
     lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
     words_ = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -102,10 +104,5 @@ def _roll(b: pa.RecordBatch, keep: list[str], n: int, different: bool) -> pa.Rec
     for j in range(n):
         sh = sh * MULTIPLIER + words_[starts + j]
     row, at = row[starts], at[starts]
-    if different and len(sh):
-        order = np.lexsort((sh, row))
-        first = np.concatenate([[True], (row[order][1:] != row[order][:-1]) | (sh[order][1:] != sh[order][:-1])])
-        order = order[first]
-        row, at, sh = row[order], at[order], sh[order]
     pick = pa.array(row)
     return pa.RecordBatch.from_arrays([*(b.column(c).take(pick) for c in keep), pa.array(lengths[row].astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(sh.view(np.int64))], names=[*keep, "n_words", "at", "sh"])
