@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -82,17 +84,22 @@ def fertility(docs: DataFrame, key: str = "doc_id", *, n: int = 5, tokenizers: s
 SCRIPTS = (("Greek", 0x370, 0x3FF), ("Cyrillic", 0x400, 0x52F), ("Arabic", 0x600, 0x6FF), ("Devanagari", 0x900, 0x97F), ("Tamil", 0xB80, 0xBFF), ("Malayalam", 0xD00, 0xD7F), ("Thai", 0xE00, 0xE7F), ("Kana", 0x3040, 0x30FF), ("Han", 0x3400, 0x9FFF), ("Hangul", 0xAC00, 0xD7A3))
 
 
+@lru_cache(maxsize=65_536)
+def _script(c: str) -> str | None:
+    """A letter's script; None for what is no letter."""
+    return next((name for name, a, b in SCRIPTS if a <= ord(c) <= b), "Latin" if ord(c) < 0x370 else "Other") if c.isalpha() else None
+
+
 def script_of(text: str) -> str | None:
     """The script of most letters of ``text``; of equally frequent ones the first in code point order."""
     if text.isascii():
-        return "Latin" if any(c.isalpha() for c in text) else None
-    points, times = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
-    letters = np.array([chr(c).isalpha() for c in points.tolist()])
-    points, times = points[letters], times[letters]
-    if not len(points):
-        return None
-    counts = [("Latin", int(times[points < 0x370].sum()))] + [(name, int(times[(points >= a) & (points <= b)].sum())) for name, a, b in SCRIPTS]
-    return max(counts, key=lambda x: x[1])[0] if max(c for _, c in counts) else "Other"
+        return "Latin" if any(map(str.isalpha, text)) else None
+    totals: dict[str | None, int] = {}
+    for c, times in Counter(text).items():
+        name = _script(c)
+        totals[name] = totals.get(name, 0) + times
+    known = [(totals[name], name) for name in ("Latin", *(s[0] for s in SCRIPTS)) if name in totals]
+    return max(known, key=lambda x: x[0])[1] if known else "Other" if "Other" in totals else None
 
 
 def entropy(ids: np.ndarray) -> float:
