@@ -55,14 +55,14 @@ def brute_trailing(rows, periods):
     return out
 
 
-@pytest.mark.parametrize("hot_share", [1 / 256, 1e-9])
-def test_trailing_totals(spark, hot_share):
+@pytest.mark.parametrize("hot_rows", [None, 2, 400])
+def test_trailing_totals(spark, hot_rows):
     rng = random.Random(4)
     rows = [(rng.choice(["a", "b", None]), DAY0 + dt.timedelta(days=rng.choice([0, 0, 3, 4, 11, 50, 51])), rng.choice(["x", "y", "z", None])) for _ in range(300)]
     rows += [("hot", DAY0 + dt.timedelta(days=rng.randrange(90)), f"i{rng.randrange(200)}") for _ in range(3000)]
     rows += [("single", DAY0, "x"), ("single", DAY0, "x"), ("undated", None, "x"), ("", DAY0, "")]
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "entity string, day date, item string, part string, n int")
-    got = {(r[0], r[1]): list(r[2:6]) for r in trailing_totals(df, hot_share=hot_share, salts=4).collect()}
+    got = {(r[0], r[1]): list(r[2:6]) for r in trailing_totals(df, hot_rows=hot_rows).collect()}
     assert got == brute_trailing(rows, (7, 30))
     assert ("undated", DAY0) not in got
 

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.runtime import broadcast_if_small, materialize, shuffle_width
+
 
 class TwoStackQueue:
     """A sliding window's aggregate under any associative ``combine``; no inverse needed.
@@ -92,7 +94,7 @@ class TwoStackDistinct:
         return len(self.front_set) + len(self.back_set) - self.both
 
 
-def trailing_totals(events: DataFrame, periods: tuple[int, ...] = (7, 30), *, hot_share: float = 1 / 256, salts: int = 16) -> DataFrame:
+def trailing_totals(events: DataFrame, periods: tuple[int, ...] = (7, 30), *, hot_rows: int | None = None) -> DataFrame:
     """Events and different items of each entity over trailing periods, for every day.
 
     ``events`` has ``entity``, ``day`` (date) and ``item``; extra columns are
@@ -104,21 +106,25 @@ def trailing_totals(events: DataFrame, periods: tuple[int, ...] = (7, 30), *, ho
     belong to no series and are left out; a null item counts as an event only.
 
     Events are first counted per (entity, day, item), map-side before the
-    shuffle. Sorted partitions then stream through two-stack queues whose state
-    crosses Arrow batches, so no entity is ever held whole. Entities with more
-    than ``hot_share`` of all rows (at most ``1/hot_share`` of them, hence a
-    bounded broadcast) are split by a hash of the item into ``salts`` parts:
-    both totals add up over parts, because each item lives in one part only.
+    shuffle, and written once. Sorted partitions then stream through two-stack
+    queues whose state crosses Arrow batches, so no entity is ever held whole.
+    An entity with more than ``hot_rows`` counted rows (default: half a task's
+    even share) is split by a hash of the item into parts of about that many, so
+    its tasks grow in number with its rows: both totals add up over parts,
+    because each item lives in one part only. There are at most twice as many
+    such entities as shuffle partitions, hence a bounded broadcast. A null item
+    has one counted row a day, whatever its events.
     """
     spark = events.sparkSession
     clean = events.where(F.col("entity").isNotNull() & F.col("day").isNotNull()).select("entity", "day", "item")
-    seen = clean.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("last"))
-    row_total = seen.agg(F.sum("n")).first()[0] or 0
-    hot = spark.createDataFrame(seen.where(F.col("n") > max(1000, row_total * hot_share)).select("entity", "last").collect(), seen.select("entity", "last").schema)
-    daily = clean.groupBy("entity", "day", "item").agg(F.count(F.lit(1)).alias("n"))
-    part = F.pmod(F.xxhash64("item"), F.lit(salts)).cast("int")
-    cold = daily.join(F.broadcast(hot.select("entity")), "entity", "left_anti").select("entity", F.lit(0).alias("part"), "day", "item", "n", F.lit(None).cast("date").alias("last"))
-    warm = daily.join(F.broadcast(hot), "entity").select("entity", part.alias("part"), "day", "item", "n", "last")
+    daily = materialize(clean.groupBy("entity", "day", "item").agg(F.count(F.lit(1)).alias("n")), "daily")
+    if hot_rows is None:
+        hot_rows = max(1000, daily.count() // (2 * shuffle_width(spark)))
+    seen = daily.groupBy("entity").agg(F.count(F.lit(1)).alias("rows"), F.max("day").alias("last")).where(F.col("rows") > hot_rows)
+    hot = broadcast_if_small(seen.select("entity", "last", F.ceil(F.col("rows") / hot_rows).cast("int").alias("salts")))
+    part = F.pmod(F.xxhash64("item"), F.col("salts")).cast("int")
+    cold = daily.join(hot.select("entity"), "entity", "left_anti").select("entity", F.lit(0).alias("part"), "day", "item", "n", F.lit(None).cast("date").alias("last"))
+    warm = daily.join(hot, "entity").select("entity", part.alias("part"), "day", "item", "n", "last")
     sums = [f"{k}_{p}" for p in periods for k in ("events", "items")]
     schema = f"entity {dict(events.dtypes)['entity']}, day date, " + ", ".join(f"{c} long" for c in sums)
 
