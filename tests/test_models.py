@@ -29,6 +29,8 @@ def test_isolation_forest(spark):
     assert scored.exceptAll(again).count() == 0
     reasons = {r["feature"]: r["contribution"] for r in forest.attribute(df.where("id = 500"), model, "id").collect()}
     assert set(reasons) == {"a", "b"} and reasons["a"] > 0.05 > reasons["b"]
+    total = forest.attribute(df, model, "id").groupBy("id").agg(F.sum("contribution").alias("c"), F.first("score").alias("s"), F.first("base").alias("b"))
+    assert total.where("abs(c - (s - b)) > 1e-9").count() == 0
     with pytest.raises(ValueError, match="nothing"):
         forest.fit_isolation_forest(df.where("id < 0"), ["a"])
     assert forest.score_isolation_forest(df.where("id < 0"), model).count() == 0
@@ -144,4 +146,25 @@ def test_cluster_queries_see_whole_vectors(spark, tmp_path):
         one, two = {found[i] for i in range(30)} - noise, {found[i] for i in range(30, 60)} - noise
         assert one and two and not one & two
     d = np.sort(np.linalg.norm(x[:, None] - x[None], axis=2), axis=1)[:, 4]
-    assert abs(q.kdistance_eps_whole(spark, str(tmp_path)).first()["eps"] - np.percentile(d, 90)) < 1e-4
+    assert abs(q.kdistance_eps(spark, str(tmp_path)).first()["eps"] - np.percentile(d, 90)) < 1e-4
+
+
+def test_boosted_attribution_adds_up(labelled):
+    model = models.fit_boosted(labelled, ["a", "b", "c"], rounds=4, depth=3)
+    each = forest.attribute_boosted(labelled, model, ["a", "b", "c"], "id")
+    total = each.groupBy("id").agg((F.sum("contribution") + F.first("base")).alias("m"), F.first("score").alias("s"))
+    both = models.probability(model.transform(labelled), "p").select("id", "p").join(total, "id")
+    assert both.count() == 600 and both.where("abs(m - s) > 1e-9 OR abs(p - 1 / (1 + exp(-2 * s))) > 1e-9").count() == 0
+    assert each.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("c")).orderBy(F.desc("c")).first()["feature"] == "a"
+
+
+def test_joint_frame(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in rng.standard_normal(6)], float(i % 5) if i % 7 else None, 1, "SS7" if i % 3 else "SMPP") for i in range(200)]
+    joint, _, names = models.joint_frame(spark.createDataFrame(rows, "id int, vector array<double>, n double, same int, source string"), "vector", ["n", "same"], "source", k=2)
+    assert names == ["reduced_0", "reduced_1", "n", "same", "is_SMPP", "is_SS7"] and joint.columns == ["id", "vector", "n", "same", "source", "features"]
+    x = np.array([r["features"] for r in joint.collect()])
+    assert np.allclose(x.mean(axis=0), 0, atol=1e-9) and np.allclose(x.std(axis=0, ddof=1), [1, 1, 1, 0, 1, 1])
+    assert models.clustering_places(names, "content") == [0, 1] and len(models.clustering_places(names)) == 6
+    with pytest.raises(ValueError, match="mode"):
+        models.clustering_places(names, "some")

@@ -94,6 +94,8 @@ def test_upsert(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d"), (3, "e")], "k int, v string")
     assert sorted(map(tuple, ingest.upsert(old, new, ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "e")]
+    timed = spark.createDataFrame([(3, "z", 1), (3, "b", 2)], "k int, v string, at int")
+    assert ingest.upsert(old, timed, ["k"], ["at"]).where("k = 3").first()["v"] == "b"
 
 
 # --- text --------------------------------------------------------------------------------
@@ -291,9 +293,10 @@ def test_sinks(spark, tmp_path):
     files.disclose(spark, str(tmp_path / "v"), None)
     assert not (tmp_path / "v" / "_SAMPLE").exists()
     online = str(tmp_path / "online")
-    for rows in ([(1, "a"), (2, "b")], [(2, "c")]):
-        files.upsert_online(spark, online, spark.createDataFrame(rows, "k int, v string"), ["k"])
-    assert sorted(map(tuple, spark.read.parquet(online).collect())) == [(1, "a"), (2, "c")]
+    assert files.read_online(spark, online) is None
+    for rows in ([(1, "a", 1), (2, "b", 1)], [(2, "z", 2), (2, "c", 3), (3, "n", 0), (3, "m", 9)], [(1, "d", 4)], [(1, "e", 5)]):
+        files.upsert_online(spark, online, spark.createDataFrame(rows, "k int, v string, at int"), ["k"], ["at"])
+    assert sorted((r["k"], r["v"]) for r in files.read_online(spark, online).collect()) == [(1, "e"), (2, "c"), (3, "m")]
 
 
 def test_registry(spark, tmp_path):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import read_online
 from tidemark.streaming import live
 
 
@@ -67,4 +68,22 @@ def test_snapshot_is_kept(spark, feed, tmp_path):
     q = live.keep_snapshot(counts, str(tmp_path / "snap"), ["sender"], str(tmp_path / "cp"))
     q.processAllAvailable()
     q.stop()
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "snap")).collect())) == [("a", 2), ("b", 1)]
+    assert sorted(map(tuple, read_online(spark, str(tmp_path / "snap")).collect())) == [("a", 2), ("b", 1)]
+
+
+def test_ema_and_part_sessions_cross_batches(spark, feed):
+    schema = "entity string, key string, seq int, value double, part int, timestamp string"
+    t = "2026-03-01 10:00:{:02d}"
+    a = [("e", "k", 0, 1.0, 1, t.format(0)), ("e", "k", 1, None, 2, t.format(5)), (None, None, 9, 1.0, 1, t.format(6))]
+    b = [("e", "k", 2, 3.0, 3, t.format(20)), ("e", "k", 3, 5.0, 1, t.format(21)), ("e", "k", 4, 7.0, None, "2026-03-01 10:02:00")]
+    got = {r["seq"]: (r["ema"], r["history"]) for r in drain(spark, live.ema_values(feed([a, b], schema), alpha=0.5), "ema")}
+    assert {k: (None if v is None or v != v else v, n) for k, (v, n) in got.items()} == {"0": (None, 0), "1": (1.0, 1), "2": (1.0, 1), "3": (2.0, 2), "4": (3.5, 3)}
+
+
+def test_part_sessions(spark, feed):
+    schema = "key string, seq int, part int, timestamp string"
+    t = "2026-03-01 10:00:{:02d}"
+    a = [("k", 0, 1, t.format(0)), ("k", 1, 2, t.format(5)), (None, 9, 1, t.format(6))]
+    b = [("k", 2, 3, t.format(20)), ("k", 3, 1, t.format(21)), ("k", 4, None, "2026-03-01 10:02:00")]
+    got = {r["seq"]: r["session"] for r in drain(spark, live.part_sessions(feed([a, b], schema)), "parts")}
+    assert got == {"0": 1, "1": 1, "2": 1, "3": 2, "4": 3}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import IDF, PCA, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import IDF, PCA, CountVectorizer, ElementwiseProduct, IDFModel, NGram, Normalizer, RegexTokenizer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,30 @@ def reduce_vectors(df: DataFrame, columns: list[str], k: int, out: str = "reduce
     return projected, model
 
 
+def joint_frame(df: DataFrame, vector: str, numbers: list[str], source: str, *, k: int = 8, out: str = "features") -> tuple[DataFrame, PipelineModel, list[str]]:
+    """What the models train on: reduced vectors, numeric columns and the source's indicator, all scaled together.
+
+    ``vector`` (an array of one length) is standardised and projected on its
+    first ``k`` principal components; ``numbers`` (behaviour and flags; null is
+    0) and ``is_<source>`` follow, and everything is scaled to mean 0 and
+    deviation 1 (a constant column to 0). Adds ``out`` as an array; the names of its places are
+    returned, the reduced ones first (``reduced_0`` ...).
+    """
+    names = sorted(r[0] for r in df.select(source).distinct().limit(100).collect() if r[0] is not None)
+    ready = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>"))).withColumns({f"is_{n}": F.coalesce((F.col(source) == n).cast("double"), F.lit(0.0)) for n in names} | {f"_n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numbers})
+    stages = [StandardScaler(inputCol="_v", outputCol="_z", withMean=True), PCA(k=k, inputCol="_z", outputCol="_p"), VectorAssembler(inputCols=["_p", *[f"_n_{c}" for c in numbers], *[f"is_{n}" for n in names]], outputCol="_all"), StandardScaler(inputCol="_all", outputCol="_f", withMean=True)]
+    model = Pipeline(stages=stages).fit(ready)
+    joint = model.transform(ready).withColumn(out, vector_to_array("_f"))
+    return joint.drop("_v", "_z", "_p", "_all", "_f", *[f"_n_{c}" for c in numbers], *[f"is_{n}" for n in names]), model, [*[f"reduced_{i}" for i in range(k)], *numbers, *[f"is_{n}" for n in names]]
+
+
+def clustering_places(names: list[str], mode: str = "all") -> list[int]:
+    """Which places of a joint frame's features clusters are sought in: ``content`` (the reduced vectors) or ``all``."""
+    if mode not in ("content", "all"):
+        raise ValueError(f"mode must be content or all, not {mode}")
+    return [i for i, n in enumerate(names) if mode == "all" or n.startswith("reduced_")]
+
+
 def fit_logistic(df: DataFrame, columns: list[str], label: str = "y", *, c: float = 1.0):  # noqa: ANN201
     """Logistic regression with the objective of an inverse penalty ``c`` on summed losses; raises without both classes."""
     n, classes = df.agg(F.count(F.lit(1)), F.count_distinct(label)).first()
@@ -74,26 +99,14 @@ def text_features(text: str = "text", *, vocabulary: int = 500, min_docs: int =
     joined = SQLTransformer(statement="SELECT *, concat(_w, _g2, _g3) AS _grams FROM __THIS__")
     counted = CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=vocabulary, minDF=min_docs)
     weighed = IDF(inputCol="_tf", outputCol="_idf")
-    # MLlib's idf lacks the + 1 of the usual smoothed form: tf * (idf + 1) = tf * idf + tf
-    both = VectorAssembler(inputCols=["_idf", "_tf"], outputCol="_both")
-    return Pipeline(stages=[words, *grams, joined, counted, weighed, both])
+    return Pipeline(stages=[words, *grams, joined, counted, weighed])
 
 
 def tfidf(df: DataFrame, model: PipelineModel, out: str = "tfidf") -> DataFrame:
     """The fitted features as a sparse unit vector of the vocabulary's size."""
-    from pyspark.ml.feature import ElementwiseProduct  # noqa: F401 - documents the alternative
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    def fold(v):  # noqa: ANN001, ANN202
-        half = v.size // 2
-        total: dict[int, float] = {}
-        for i, x in zip(v.indices, v.values) if hasattr(v, "indices") else enumerate(v.toArray()):
-            if x:
-                total[int(i) % half] = total.get(int(i) % half, 0.0) + float(x)
-        return SparseVector(half, total)
-
-    folded = model.transform(df).withColumn("_sum", F.udf(fold, VectorUDT())("_both"))
-    return Normalizer(inputCol="_sum", outputCol=out, p=2.0).transform(folded).drop("_w", "_g2", "_g3", "_grams", "_tf", "_idf", "_both", "_sum")
+    idf = next(s for s in model.stages if isinstance(s, IDFModel)).idf.toArray()
+    weigh = ElementwiseProduct(scalingVec=Vectors.dense(idf + 1), inputCol="_tf", outputCol="_sum")
+    return Normalizer(inputCol="_sum", outputCol=out, p=2.0).transform(weigh.transform(model.transform(df))).drop("_w", "_g2", "_g3", "_grams", "_tf", "_idf", "_sum")
 
 
 # --- folds and splits --------------------------------------------------------------------

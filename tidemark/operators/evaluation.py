@@ -93,8 +93,32 @@ def dominance(df: DataFrame, groups: dict[str, list[str]], *, trees: int = 50, s
 
 
 def by_source(scored: DataFrame, source: str) -> DataFrame:
-    """``segment, average_precision`` overall (``all``) and of each source."""
-    out = average_precision(scored).select(F.lit("all").alias("segment"), "average_precision")
-    for row in scored.select(source).distinct().orderBy(source).collect():
-        out = out.unionByName(average_precision(scored.where(F.col(source).eqNullSafe(F.lit(row[0])))).select(F.lit(row[0]).cast("string").alias("segment"), "average_precision"))
-    return out
+    """``segment, average_precision`` overall (``all``) and of each source, null being one; null with one class only.
+
+    All segments in one order by source and score, with distributed prefix
+    sums from which the segments before are taken off: no plan per segment, and
+    no segment in one task.
+    """
+    known = scored.where("y IS NOT NULL AND score IS NOT NULL")
+    tied = known.groupBy(F.col(source).cast("string").alias("segment"), "score").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("p"))
+    steps = prefix_sums(tied, [F.asc_nulls_first("segment"), F.desc("score")], {"n_up": "n", "p_up": "p"})
+    first = steps.groupBy("segment").agg(F.min(F.struct("n_up", "n", "p_up", "p")).alias("f")).select(F.col("segment").alias("g"), (F.col("f.n_up") - F.col("f.n")).alias("n0"), (F.col("f.p_up") - F.col("f.p")).alias("p0"))
+    placed = steps.join(broadcast_if_small(first), F.col("segment").eqNullSafe(F.col("g")))
+    total = F.sum("p")
+    value = F.sum(F.col("p") * (F.col("p_up") - F.col("p0")) / (F.col("n_up") - F.col("n0"))) / total
+    each = placed.groupBy("segment").agg(F.when((total > 0) & (total < F.sum("n")), value).alias("average_precision"))
+    return average_precision(scored).select(F.lit("all").alias("segment"), "average_precision").unionByName(each)
+
+
+def accuracy_macro(confused: DataFrame) -> DataFrame:
+    """``accuracy, macro_f1`` from :func:`tidemark.operators.ranking.confusion`; the F1 of classes counts equally, nulls without rows."""
+    return confused.agg((F.sum("tp") / F.sum("support")).alias("accuracy"), F.avg("f1").alias("macro_f1"))
+
+
+def drift(metrics: DataFrame, *, gap: float = 0.05) -> DataFrame:
+    """From a table of ``source, kind (shared|separate), value``: each source's latest pair and whether a model of its own is justified.
+
+    ``at`` orders repeated measurements; sources without both kinds are left out.
+    """
+    latest = metrics.groupBy("source").pivot("kind", ["shared", "separate"]).agg(F.max_by("value", "at"))
+    return latest.where("shared IS NOT NULL AND separate IS NOT NULL").select("source", "shared", "separate", (F.col("separate") - F.col("shared") >= gap).alias("justified"))

@@ -161,9 +161,13 @@ def _pick(df: DataFrame, keys: list[str], by, order: list[str]) -> DataFrame:  #
     return best.select(*keys, *[F.col("_r")[c].alias(c) for c in rest])
 
 
-def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``existing`` with rows of equal keys replaced by ``new``, whose last row of a key (in column order) wins."""
-    order = [c for c in new.columns if c not in keys] or keys
+def upsert(existing: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """``existing`` with rows of equal keys replaced by ``new``.
+
+    Of several new rows of a key that of the largest ``order`` (say, time and
+    number) wins; without ``order`` the largest by its values in column order.
+    """
+    order = order or [c for c in new.columns if c not in keys] or keys
     both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     return keep_latest(both, keys, ["_new", *order]).drop("_new")
 

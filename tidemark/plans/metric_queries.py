@@ -108,6 +108,49 @@ def confusion_f1(spark: SparkSession, base: str) -> DataFrame:
     return r.confusion(rows, "y", "predicted")
 
 
+@REGISTRY.add(
+    "accuracy_macro_f1",
+    """WITH p AS (SELECT o_orderpriority LIKE '1%' AS t, o_totalprice > 150000 AS q FROM orders),
+c AS (SELECT label, count(*) FILTER (t = label AND q = label) AS tp, count(*) FILTER (t <> label AND q = label) AS fp, count(*) FILTER (t = label AND q <> label) AS fn FROM (VALUES (true), (false)) l(label), p GROUP BY label)
+SELECT (SELECT avg((t = q)::INT) FROM p) AS accuracy, avg(2 * tp / (2 * tp + fp + fn)::DOUBLE) AS macro_f1 FROM c""",
+)
+def accuracy_macro_f1(spark: SparkSession, base: str) -> DataFrame:
+    """The share of right predictions, and the mean F1 of the classes."""
+    from tidemark.operators.evaluation import accuracy_macro
+
+    return accuracy_macro(confusion_f1(spark, base))
+
+
+@REGISTRY.add(
+    "segment_average_precision",
+    """WITH s AS (SELECT o_orderstatus AS g, o_totalprice::DOUBLE AS score, (o_orderpriority LIKE '1%')::INT AS y FROM orders),
+b AS (SELECT g, score, y FROM s UNION ALL SELECT 'all', score, y FROM s),
+t AS (SELECT g, score, count(*) AS n, sum(y) AS p FROM b GROUP BY g, score),
+u AS (SELECT g, n, p, sum(n) OVER w AS nu, sum(p) OVER w AS pu FROM t WINDOW w AS (PARTITION BY g ORDER BY score DESC))
+SELECT g AS segment, round(sum(p * pu / nu::DOUBLE) / sum(p), 9) AS average_precision FROM u GROUP BY g""",
+)
+def segment_average_precision(spark: SparkSession, base: str) -> DataFrame:
+    """Average precision overall and of each segment."""
+    from tidemark.operators.evaluation import by_source
+
+    rows = table(spark, base, "orders").select("o_orderstatus", F.col("o_totalprice").cast("double").alias("score"), F.col("o_orderpriority").startswith("1").cast("int").alias("y"))
+    return by_source(rows, "o_orderstatus").select("segment", F.round("average_precision", 9).alias("average_precision"))
+
+
+@REGISTRY.add(
+    "source_drift",
+    """WITH m AS (SELECT o_orderpriority AS source, avg(o_totalprice) FILTER (o_orderstatus = 'F') / 100000 AS shared, avg(o_totalprice) FILTER (o_orderstatus = 'O') / 100000 AS separate FROM orders GROUP BY source)
+SELECT source, round(shared, 6) AS shared, round(separate, 6) AS separate, separate - shared >= 0.0 AS justified FROM m WHERE shared IS NOT NULL AND separate IS NOT NULL""",
+)
+def source_drift(spark: SparkSession, base: str) -> DataFrame:
+    """Whether a model of its own is justified for each source, from a table of metrics."""
+    from tidemark.operators.evaluation import drift
+
+    kind = F.when(F.col("o_orderstatus") == "F", "shared").when(F.col("o_orderstatus") == "O", "separate")
+    metrics = table(spark, base, "orders").select(F.col("o_orderpriority").alias("source"), kind.alias("kind"), F.col("o_totalprice").cast("double").alias("v")).where("kind IS NOT NULL").groupBy("source", "kind").agg((F.avg("v") / 100000).alias("value")).withColumn("at", F.lit(1))
+    return drift(metrics, gap=0.0).withColumns({c: F.round(c, 6) for c in ("shared", "separate")})
+
+
 @REGISTRY.add(
     "metrics_by_segment",
     """WITH s AS (SELECT o_orderstatus AS g, o_totalprice AS score, CASE WHEN o_orderpriority LIKE '1%' THEN 1 ELSE 0 END AS y FROM orders)

@@ -27,14 +27,14 @@ def lines(spark: SparkSession, base: str) -> DataFrame:
 def isolation_forest(spark: SparkSession, base: str) -> DataFrame:
     """Anomaly scores of all lines."""
     df = lines(spark, base)
-    return fo.score_isolation_forest(df, fo.fit_isolation_forest(df, COLUMNS)).select("id", F.round("anomaly_score", 6).alias("anomaly_score"))
+    return fo.score_isolation_forest(df, fo.fit_isolation_forest(df, COLUMNS, key="id")).select("id", F.round("anomaly_score", 6).alias("anomaly_score"))
 
 
 @REGISTRY.add("anomaly_attribution")
 def anomaly_attribution(spark: SparkSession, base: str) -> DataFrame:
     """What each feature adds to the scores of the most anomalous lines (a top-k report)."""
     df = lines(spark, base)
-    model = fo.fit_isolation_forest(df, COLUMNS)
+    model = fo.fit_isolation_forest(df, COLUMNS, key="id")
     top = fo.score_isolation_forest(df, model).orderBy(F.desc("anomaly_score"), "id").limit(20)
     return fo.attribute(top, model, "id").select("id", "feature", F.round("contribution", 6).alias("contribution"))
 
@@ -65,7 +65,7 @@ def out_of_fold(spark: SparkSession, base: str) -> DataFrame:
 def boosted_trees(spark: SparkSession, base: str) -> DataFrame:
     """Boosted trees' scores of the held-out lines."""
     split = md.stratified_split(lines(spark, base), "id", "y", 0.2)
-    model = md.fit_boosted(split.where("NOT is_test"), COLUMNS, rounds=5, depth=3)
+    model = md.fit_boosted(split.where("NOT is_test"), COLUMNS)
     return md.probability(model.transform(split.where("is_test")), "score").select("id", "y", F.round("score", 4).alias("score"))
 
 
@@ -73,11 +73,52 @@ def boosted_trees(spark: SparkSession, base: str) -> DataFrame:
 def multiclass_trees(spark: SparkSession, base: str) -> DataFrame:
     """Predicted return flags of lines whose order is held out."""
     split = md.group_split(lines(spark, base).withColumn("order", F.split("id", "-")[0]), "order", 0.2)
-    model = md.fit_multiclass(split.where("NOT is_test"), COLUMNS, "l_returnflag", trees=10)
+    model = md.fit_multiclass(split.where("NOT is_test"), COLUMNS, "l_returnflag")
     labels = F.array(*[F.lit(v) for v in model.stages[0].labels])
     return model.transform(split.where("is_test")).select("id", labels[F.col("prediction").cast("int")].alias("predicted"))
 
 
+@REGISTRY.add("tree_attribution")
+def tree_attribution(spark: SparkSession, base: str) -> DataFrame:
+    """What each column adds to every line's margin under boosted trees; with ``base`` it adds up to ``margin``."""
+    df = lines(spark, base)
+    return fo.attribute_boosted(df, md.fit_boosted(df, COLUMNS), COLUMNS, "id").select("id", "feature", F.round("contribution", 6).alias("contribution"), F.round("score", 6).alias("margin"), F.round("base", 6).alias("base"))
+
+
+@REGISTRY.add(
+    "joint_frame",
+    """WITH m AS (SELECT record_id, any_value(text) AS text, any_value(source) AS source FROM canonical_row WHERE record_id IS NOT NULL GROUP BY record_id),
+x AS (SELECT record_id, length(coalesce(text, ''))::DOUBLE AS chars, (source = 'SMPP')::INT::DOUBLE AS smpp FROM m)
+SELECT record_id, 33 AS places, round((chars - avg(chars) OVER ()) / stddev_samp(chars) OVER (), 6) AS chars, round((smpp - avg(smpp) OVER ()) / stddev_samp(smpp) OVER (), 6) AS is_smpp FROM x""",
+)
+def joint_frame(spark: SparkSession, base: str) -> DataFrame:
+    """Text vectors reduced to eight numbers, sender windows, length, flags and sources of every message, scaled together."""
+    from tidemark.functions.content import flags
+    from tidemark.ml.encoder import encode_distinct
+    from tidemark.sources.tables import messages
+
+    m = messages(spark, base, "text", "source").withColumns(flags(F.col("text"))).withColumn("chars", F.length(F.coalesce("text", F.lit(""))))
+    seen = w.sender_window_features(frame(spark, base)).select(F.col("seq").alias("record_id"), "msgs_long", "repeat_ratio")
+    known = encode_distinct(m.join(seen, "record_id", "left"), dim=64)
+    numbers = ["msgs_long", "repeat_ratio", "chars", *flags(F.col("text"))]
+    joint, _, names = md.joint_frame(known, "vector", numbers, "source")
+    at = lambda name: F.round(F.col("features")[names.index(name)], 6)
+    return joint.select("record_id", F.size("features").alias("places"), at("chars").alias("chars"), at("is_SMPP").alias("is_smpp"))
+
+
+@REGISTRY.add("flag_weights")
+def flag_weights(spark: SparkSession, base: str) -> DataFrame:
+    """The weights of the content flags against the source, and how many messages score at or above the 0.5 threshold."""
+    from tidemark.functions.content import flags
+    from tidemark.sources.tables import messages
+
+    names = list(flags(F.col("text")))
+    m = messages(spark, base, "text", "source").withColumns({n: F.coalesce(c.cast("int"), F.lit(0)) for n, c in flags(F.col("text")).items()}).withColumn("y", (F.col("source") == "SS7").cast("int"))
+    model = md.fit_logistic(m, names)
+    above = m.where(md.logistic_score(model, names) >= sc.THRESHOLD).count()
+    return spark.createDataFrame([(n, round(float(v), 4), above) for n, v in zip(names, model.coefficients.toArray())], "flag string, weight double, above_threshold long")
+
+
 @REGISTRY.add("tfidf")
 def tfidf(spark: SparkSession, base: str) -> DataFrame:
     """TF-IDF vectors of the documents, as norms and sizes of the fitted vocabulary."""
@@ -109,21 +150,10 @@ def hdbscan(spark: SparkSession, base: str) -> DataFrame:
 
 @REGISTRY.add(
     "kdistance_eps",
-    """WITH e AS (SELECT vec_id AS k, embedding[1:6]::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.k, list_distance(a.v, b.v) AS d FROM e a, e b QUALIFY row_number() OVER (PARTITION BY a.k ORDER BY list_distance(a.v, b.v)) = 5)
-SELECT round(quantile_cont(d, 0.9), 6) AS eps FROM d""",
-)
-def kdistance_eps(spark: SparkSession, base: str) -> DataFrame:
-    """The suggested distance of the vectors' first six numbers, which is what its SQL states; no clustering uses it."""
-    prefixes = pool(spark, base).withColumn("vector", F.slice("vector", 1, 6))
-    return spark.createDataFrame([(round(cl.suggest_eps(prefixes, 5), 6),)], "eps double")
-
-
-@REGISTRY.add(
-    "kdistance_eps_whole",
     """WITH e AS (SELECT vec_id AS k, embedding::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.k, list_distance(a.v, b.v) AS d FROM e a, e b QUALIFY row_number() OVER (PARTITION BY a.k ORDER BY list_distance(a.v, b.v)) = 5)
 SELECT round(quantile_cont(d, 0.9), 6) AS eps FROM d""",
 )
-def kdistance_eps_whole(spark: SparkSession, base: str) -> DataFrame:
+def kdistance_eps(spark: SparkSession, base: str) -> DataFrame:
     """The suggested distance for density clusters of whole vectors."""
     return spark.createDataFrame([(round(cl.suggest_eps(pool(spark, base), 5), 6),)], "eps double")
 
@@ -192,7 +222,7 @@ def dominance_ablation(spark: SparkSession, base: str) -> DataFrame:
     """How far anomaly scores follow each group of columns."""
     from tidemark.operators.evaluation import dominance
 
-    return dominance(lines(spark, base), {"size": COLUMNS[:2], "rates": COLUMNS[2:]}, trees=20).select("left_out", F.round("rho", 4).alias("rho"))
+    return dominance(lines(spark, base), {"size": COLUMNS[:2], "rates": COLUMNS[2:]}).select("left_out", F.round("rho", 4).alias("rho"))
 
 
 @REGISTRY.add("permutation_importance")
@@ -200,4 +230,4 @@ def permutation_importance(spark: SparkSession, base: str) -> DataFrame:
     """What average precision loses when a column is shuffled."""
     df = lines(spark, base)
     model = md.fit_logistic(df, COLUMNS)
-    return md.permutation_importance(df, md.logistic_score(model, COLUMNS), COLUMNS[:2]).select("feature", F.round("drop", 4).alias("drop"))
+    return md.permutation_importance(df, md.logistic_score(model, COLUMNS), COLUMNS).select("feature", F.round("drop", 4).alias("drop"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ingest import upsert
+from tidemark.operators.ingest import keep_latest, upsert
 
 
 def scan_csv(spark: SparkSession, folder: str, schema: T.StructType | str, *, recursive: bool = True) -> DataFrame:
@@ -115,14 +116,61 @@ def write_vectors(df: DataFrame, path: str, key: str = "message_key", vector: st
     df.select(key, F.col(vector).cast("array<float>").alias(vector)).write.mode("overwrite").parquet(path)
 
 
-def upsert_online(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]) -> None:
-    """Merge rows into a keyed snapshot table, as a stream's ``foreachBatch`` does."""
-    fs, target = _hadoop(spark, path)
-    merged = upsert(spark.read.parquet(path), rows, keys) if fs.exists(target) else rows
-    staged = f"{path}.next"
-    merged.write.mode("overwrite").parquet(staged)
-    fs.delete(target, True)
-    fs.rename(_hadoop(spark, staged)[1], target)
+ONLINE_BUCKETS = 64
+
+
+def upsert_online(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], order: list[str] | None = None) -> None:
+    """Merge rows into a keyed snapshot store, as a stream's ``foreachBatch`` does; see :func:`read_online`.
+
+    The store is cut into buckets by hash of the key. Only buckets that the rows
+    touch are rewritten, beside the old ones; then a new pointer file names
+    the files in force. It appears by one rename, so a reader sees the store
+    before or after, never between, and a crash leaves the store as it was. Of a
+    key's new rows that of the largest ``order`` wins. One writer at a time.
+    """
+    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(ONLINE_BUCKETS)).cast("int"))
+    touched = [str(r[0]) for r in placed.select("_bucket").distinct().collect()]
+    number, live = _pointer(spark, path)
+    old = [live[b] for b in touched if b in live]
+    rest = [c for c in rows.columns if c not in keys]
+    merged = upsert(spark.read.option("recursiveFileLookup", True).parquet(*old).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(ONLINE_BUCKETS)).cast("int")), placed, [*keys, "_bucket"], order) if old else keep_latest(placed, [*keys, "_bucket"], order or rest or keys)
+    version = f"{path}/v{number + 1}-{uuid.uuid4().hex}"
+    merged.repartition("_bucket").write.partitionBy("_bucket").parquet(version)
+    fs, target = _hadoop(spark, f"{path}/_live/{number + 1:012d}")
+    _write_text(spark, f"{path}/_staged/{number + 1:012d}", json.dumps(live | {b: f"{version}/_bucket={b}" for b in touched}))
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_hadoop(spark, f"{path}/_staged/{number + 1:012d}")[1], target):
+        raise OSError(f"{path}: another writer was first")
+    for b in old:  # what the pointer before the last named may go; readers of the last one may still be at work
+        _write_text(spark, f"{path}/_old/{number + 1:012d}-{uuid.uuid4().hex}", b)
+    _sweep(spark, path, number)
+
+
+def read_online(spark: SparkSession, path: str) -> DataFrame | None:
+    """The snapshot store's rows as of the last finished merge; None if there is none."""
+    live = _pointer(spark, path)[1]
+    return spark.read.option("recursiveFileLookup", True).parquet(*live.values()) if live else None
+
+
+def _pointer(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
+    fs, folder = _hadoop(spark, f"{path}/_live")
+    numbers = [int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()] if fs.exists(folder) else []
+    if not numbers:
+        return 0, {}
+    text = "".join(r[0] for r in spark.read.text(f"{path}/_live/{max(numbers):012d}").collect())
+    return max(numbers), json.loads(text)
+
+
+def _sweep(spark: SparkSession, path: str, before: int) -> None:
+    """Delete files that were replaced up to the pointer ``before``, and older pointers."""
+    fs, folder = _hadoop(spark, f"{path}/_old")
+    for f in fs.listStatus(folder) if fs.exists(folder) else []:
+        if int(f.getPath().getName().split("-")[0]) <= before:
+            fs.delete(_hadoop(spark, spark.read.text(f.getPath().toString()).first()[0])[1], True)
+            fs.delete(f.getPath(), False)
+    for f in fs.listStatus(_hadoop(spark, f"{path}/_live")[1]):
+        if int(f.getPath().getName()) < before:
+            fs.delete(f.getPath(), False)
 
 
 def _hadoop(spark: SparkSession, path: str):  # noqa: ANN202

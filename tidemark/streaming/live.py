@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import pandas as pd
@@ -58,16 +59,16 @@ def sender_features(stream: DataFrame, *, late: str = "10 minutes", short: int =
         out = []
         for seq, at in zip(rows["seq"], rows["at"]):
             first = at if first is None else min(first, at)
-            in_long = sum(at - long <= t <= at for t in times)
-            in_short = sum(at - short <= t <= at for t in times)
+            upto = bisect_right(times, at)
+            in_long, in_short = upto - bisect_left(times, at - long), upto - bisect_left(times, at - short)
             z = None
             if n >= 2:
                 deviation = max((squares - total * total / n) / (n - 1), 0.0) ** 0.5
                 z = (in_short - total / n) / deviation if deviation > 1e-9 else None
             out.append((seq, key[0], at, in_short, in_long, z, (at - first) / 86_400_000_000))
             n, total, squares = n + 1, total + in_short, squares + in_short * in_short
-            times.append(at)
-            times = [t for t in times if t >= max(times) - long]
+            insort(times, at)
+            del times[: bisect_left(times, times[-1] - long)]
         state.update((times, n, total, squares, first))
         yield pd.DataFrame(out, columns=["seq", "sender", "at", "msgs_short", "msgs_long", "velocity_z", "age_days"])
 
@@ -107,6 +108,59 @@ def reassemble(stream: DataFrame, *, late: str = "10 minutes", patience_ms: int
     return parts.groupBy("originator", "destination", "concat_ref", "concat_total_parts").applyInPandasWithState(step, MESSAGE, "numbers array<long>, texts array<string>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def keep_snapshot(stream: DataFrame, path: str, keys: list[str], checkpoint: str):  # noqa: ANN201
-    """Start a query that merges each micro-batch into a keyed snapshot table."""
-    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: upsert_online(batch.sparkSession, path, batch, keys)).start()
+def ema_values(stream: DataFrame, *, alpha: float = 0.1, late: str = "10 minutes") -> DataFrame:
+    """Each row's exponential average of its entity's earlier values, and how many there were, kept as state per entity.
+
+    ``stream`` has ``entity, seq, timestamp`` and ``value``; the state is two
+    numbers. Null values neither change nor weigh the average; null entities and
+    times are left out. Rows of a micro-batch are taken in order of time and ``seq``.
+    """
+    known = stream.withWatermark("timestamp", late).where("entity IS NOT NULL AND timestamp IS NOT NULL").select("entity", F.col("seq").cast("string").alias("seq"), "timestamp", F.col("value").cast("double").alias("value"))
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        level, n = state.get if state.exists else (None, 0)
+        out = []
+        rows = pd.concat(list(batches)).sort_values(["timestamp", "seq"])
+        for seq, value in zip(rows["seq"], rows["value"]):
+            out.append((key[0], seq, level, n))
+            if not pd.isna(value):
+                level, n = value if level is None else alpha * value + (1 - alpha) * level, n + 1
+        state.update((level, n))
+        yield pd.DataFrame(out, columns=["entity", "seq", "ema", "history"]).astype({"ema": "float64"})
+
+    return known.groupBy("entity").applyInPandasWithState(step, "entity string, seq string, ema double, history long", "level double, n long", "append", GroupStateTimeout.NoTimeout)
+
+
+def part_sessions(stream: DataFrame, *, gap_s: int = 30, late: str = "10 minutes", forget_s: int = 86_400) -> DataFrame:
+    """Numbers the parts of each key by session, which a gap or a part number that does not rise ends.
+
+    ``stream`` has ``key, seq, part, timestamp``. The state is the last time and
+    part, and the session's number; it goes when the watermark is ``forget_s``
+    past the last row, after which numbers start anew. Null keys and times are
+    left out; a null part starts no session by itself.
+    """
+    known = stream.withWatermark("timestamp", late).where("key IS NOT NULL AND timestamp IS NOT NULL").select("key", F.col("seq").cast("string").alias("seq"), F.col("part").cast("double").alias("part"), "timestamp", F.unix_micros(F.col("timestamp").cast("timestamp")).alias("at"))
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last, before, session = state.get if state.exists else (None, None, 0)
+        out = []
+        rows = pd.concat(list(batches)).sort_values(["at", "seq"])
+        for seq, part, at in zip(rows["seq"], rows["part"], rows["at"]):
+            part = None if pd.isna(part) else float(part)
+            fell = part is not None and before is not None and part <= before
+            session += last is None or fell or at - last > gap_s * 1_000_000
+            last, before = at, part
+            out.append((key[0], seq, session))
+        state.update((last, before, session))
+        state.setTimeoutTimestamp(max(last // 1000 + forget_s * 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["key", "seq", "session"])
+
+    return known.groupBy("key").applyInPandasWithState(step, "key string, seq string, session long", "last long, part double, session long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def keep_snapshot(stream: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str] | None = None):  # noqa: ANN201
+    """Start a query that merges each micro-batch into a keyed snapshot store; of a key's rows the largest by ``order`` stays."""
+    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: upsert_online(batch.sparkSession, path, batch, keys, order)).start()
