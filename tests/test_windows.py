@@ -39,16 +39,16 @@ def rows_of(seed, n=500, span=4 * w.DAY):
     return [(i, rng.choice(["a", "a", "a", "b", None]), rng.choice(["x", "y", "z", None]), rng.choice(["hi", "yo", None, ""]), None if rng.random() < 0.02 else start + rng.choice([rng.randrange(span), rng.randrange(3) * M, w.DAY - H + rng.randrange(60) * M])) for i in range(n)]
 
 
-def run(spark, rows):
+def run(spark, rows, hot_rows=w.HOT_ROWS):
     df = spark.createDataFrame([(*r, "clash", 5) for r in rows], "seq int, sender string, destination string, text string, at long, msgs_extra string, _x int")
     cols = ["msgs_very_short", "msgs_short", "msgs_long", "dests_short", "dests_long", "repeat_ratio", "diversity_short", "diversity_long", "velocity_z", "age_days"]
-    return {r["seq"]: tuple(r[c] for c in cols) for r in w.sender_window_features(df).collect()}
+    return {r["seq"]: tuple(r[c] for c in cols) for r in w.sender_window_features(df, hot_rows=hot_rows).collect()}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_sender_windows(spark, seed):
+@pytest.mark.parametrize("seed,hot_rows", [(1, w.HOT_ROWS), (2, w.HOT_ROWS), (1, 60), (2, 0)])
+def test_sender_windows(spark, seed, hot_rows):
     rows = rows_of(seed)
-    got, want = run(spark, rows), restate(rows)
+    got, want = run(spark, rows, hot_rows), restate(rows)
     assert got.keys() == want.keys()
     for k in want:
         assert got[k][:5] == want[k][:5], k
@@ -106,3 +106,10 @@ def test_ema(spark):
 def test_hot_entity_is_spread(spark):
     df = spark.range(1000).select(F.col("id").alias("seq"), F.lit("hot").alias("sender"), F.lit("d").alias("destination"), F.lit("t").alias("text"), (F.col("id") * H).alias("at"))
     assert w.with_halo(df, "at", H).select("_slab").distinct().count() > 40
+
+
+def test_a_busy_day_is_spread(spark):
+    """One sender with 500,000 rows in a day, in slabs of an hour and no larger than two hours' rows."""
+    df = spark.range(500_000).select(F.col("id").alias("seq"), F.lit("a").alias("s"), (F.lit(20_000 * w.DAY) + F.col("id") * (w.DAY // 500_000)).alias("at"))
+    slabs = w.with_halo(df, "at", H, entity="s").groupBy("_slab").agg(F.count(F.lit(1)).alias("n"), F.count_if("_own").alias("own")).collect()
+    assert len(slabs) == 25 and max(r["n"] for r in slabs) < 42_000 and sum(r["own"] for r in slabs) == 500_000

@@ -15,10 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.runtime import broadcast_if_small, materialize
+
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
 HOUR = 60 * MINUTE
 DAY = 24 * HOUR
+HOT_ROWS = 100_000  # rows of an entity and day above which its slabs are as narrow as the windows allow
 
 
 def micros(ts: Column) -> Column:
@@ -26,12 +29,29 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def with_halo(df: DataFrame, at: str, reach: int, slab: int = DAY) -> DataFrame:
-    """Rows with ``_slab`` and ``_own``; those within ``reach`` of a slab's end occur in the next ones too."""
-    slab = max(slab, reach)
-    first = F.floor(F.col(at) / F.lit(slab)).cast("long")
-    last = F.floor((F.col(at) + reach) / F.lit(slab)).cast("long")
-    return df.withColumn("_slab", F.explode(F.sequence(first, last))).withColumn("_own", F.col("_slab") == first)
+def with_halo(df: DataFrame, at: str, reach: int, slab: int = DAY, *, entity: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows with ``_slab`` (its start) and ``_own``; those within ``reach`` of a slab's end occur in the next ones too.
+
+    With ``entity``, which must not be null, the slabs of an entity and day of
+    more than ``hot_rows`` rows are as narrow as ``reach`` allows, so a
+    busy sender's day is spread over as many tasks as it has reaches. Counting
+    takes a pass over ``df``, which should be a written table.
+    """
+    slab = -(-max(slab, reach) // reach) * reach
+    start = lambda t, width: F.floor(t / F.lit(width)).cast("long") * width
+    here, there = F.col(at), F.col(at) + reach
+    if entity is not None:
+        busy = df.groupBy(F.col(entity).alias("_e"), start(here, slab).alias("_day")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("_e", "_day")
+        if not busy.isEmpty():
+            busy = broadcast_if_small(busy)
+            for c, t in (("_hot_here", here), ("_hot_there", there)):
+                df = df.withColumn("_at_day", start(t, slab)).join(busy.withColumn(c, F.lit(True)), (F.col(entity) == F.col("_e")) & (F.col("_at_day") == F.col("_day")), "left").drop("_e", "_day", "_at_day")
+            own = F.when(F.col("_hot_here"), start(here, reach)).otherwise(start(here, slab))
+            next_ = F.when(F.col("_hot_there"), start(there, reach)).otherwise(start(there, slab))
+            cut = df.withColumn("_mine", own).withColumn("_slab", F.explode(F.array_distinct(F.array("_mine", next_))))
+            return cut.withColumn("_own", F.col("_slab") == F.col("_mine")).drop("_hot_here", "_hot_there", "_mine")
+    own = start(here, slab)
+    return df.withColumn("_slab", F.explode(F.array_distinct(F.array(own, start(there, slab))))).withColumn("_own", F.col("_slab") == own)
 
 
 def prior_count(keys: list[str], at: str, seq: str, width: int) -> Column:
@@ -55,13 +75,11 @@ def prior_distinct(df: DataFrame, keys: list[str], at: str, seq: str, value: str
     place = Window.partitionBy(*keys).orderBy(at, seq)
     known = F.col(value).isNotNull()
     before = place.rowsBetween(Window.unboundedPreceding, -1)
+    some = F.when(known, 1)
+    older = {n: Window.partitionBy(*keys).orderBy(at).rangeBetween(Window.unboundedPreceding, -w - 1) for n, w in widths.items()}
     base = df.withColumn("_prev", F.when(known, F.lag(at).over(same)))
-    for name, width in widths.items():
-        repeat = known & F.col("_prev").isNotNull() & (F.col(at) <= F.col("_prev") + width)
-        older = Window.partitionBy(*keys).orderBy(at).rangeBetween(Window.unboundedPreceding, -width - 1)
-        some = F.when(known, 1)
-        plain = F.count(some).over(before) - F.count(some).over(older)
-        base = base.withColumn(f"_r_{name}", repeat).withColumn(name, plain - F.coalesce(F.sum(F.col(f"_r_{name}").cast("long")).over(before), F.lit(0)))
+    base = base.withColumns({f"_r_{n}": known & F.col("_prev").isNotNull() & (F.col(at) <= F.col("_prev") + w) for n, w in widths.items()})
+    base = base.withColumns({n: F.count(some).over(before) - F.count(some).over(older[n]) - F.coalesce(F.sum(F.col(f"_r_{n}").cast("long")).over(before), F.lit(0)) for n in widths})
     kept = base.columns
     leaving = base
     gone = [F.struct(*[F.lit(n == name).alias(n) for n in widths], (F.col("_prev") + width).alias("at")) for name, width in widths.items()]
@@ -69,12 +87,11 @@ def prior_distinct(df: DataFrame, keys: list[str], at: str, seq: str, value: str
     events = leaving.select(*keys, F.explode(F.array_compact(F.array(*flags))).alias("_e")).select(*keys, F.col("_e.at").alias(at), *[F.col(f"_e.{n}").cast("int").alias(f"_gone_{n}") for n in widths])
     merged = base.withColumn("_real", F.lit(True)).unionByName(events, allowMissingColumns=True)
     earlier = Window.partitionBy(*keys).orderBy(at).rangeBetween(Window.unboundedPreceding, -1)
-    for name in widths:
-        merged = merged.withColumn(name, F.col(name) + F.coalesce(F.sum(f"_gone_{name}").over(earlier), F.lit(0)))
+    merged = merged.withColumns({n: F.col(n) + F.coalesce(F.sum(f"_gone_{n}").over(earlier), F.lit(0)) for n in widths})
     return merged.where("_real").select(*[c for c in kept if not c.startswith("_r_") and c != "_prev"])
 
 
-def sender_window_features(messages: DataFrame, *, very_short: int = MINUTE, short: int = 5 * MINUTE, long: int = HOUR) -> DataFrame:
+def sender_window_features(messages: DataFrame, *, very_short: int = MINUTE, short: int = 5 * MINUTE, long: int = HOUR, hot_rows: int = HOT_ROWS) -> DataFrame:
     """What was known about each message's sender just before it.
 
     ``messages`` has ``seq`` (unique), ``sender``, ``destination``, ``text``
@@ -91,14 +108,13 @@ def sender_window_features(messages: DataFrame, *, very_short: int = MINUTE, sho
 
     Ratios are 0 where nothing is in reach. A null sender or destination is
     ``<NA>``, a null text is empty. Rows without ``at`` have no place in time
-    and are left out; an empty frame gives an empty result.
+    and are left out; an empty frame gives an empty result. Days of a sender with
+    more than ``hot_rows`` messages are cut into slabs of ``long``.
     """
     clean = messages.where(F.col("at").isNotNull()).withColumn("_s", F.coalesce("sender", F.lit("<NA>"))).withColumn("_d", F.coalesce("destination", F.lit("<NA>"))).withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
-    halo = with_halo(clean, "at", long)
+    clean = materialize(clean, "messages")  # read for its windows, for what leaves them, for its totals
     keys = ["_s", "_slab"]
-    counted = halo
-    for name, width in (("msgs_very_short", very_short), ("msgs_short", short), ("msgs_long", long)):
-        counted = counted.withColumn(name, prior_count(keys, "at", "seq", width))
+    counted = with_halo(clean, "at", long, entity="_s", hot_rows=hot_rows).withColumns({name: prior_count(keys, "at", "seq", width) for name, width in (("msgs_very_short", very_short), ("msgs_short", short), ("msgs_long", long))})
     counted = counted.withColumn("_same", prior_count([*keys, "_t"], "at", "seq", long))
     seen = prior_distinct(counted, keys, "at", "seq", "_d", {"dests_short": short, "dests_long": long}).where("_own")
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
