@@ -100,3 +100,37 @@ def test_share_restored_as_written(spark, dictionaries):
             declared = decode_text(payload, dcs, "SMPP")[0]
             tried, back = tried + 1, back + (diagnose(payload, declared, Describer(dictionaries))[1] == text)
     assert back / tried >= 0.95, back / tried
+
+
+def test_every_text_trains(spark):
+    """The dictionary of many and long texts, in one part and in several, is one of all of them: none is drawn, cut or left out."""
+    from tidemark.llm import garbled
+
+    rng = __import__("random").Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    rest = [" ".join(word() for _ in range(12)) for _ in range(3_000)]
+    phrase = "quoth zephyr vexing bold jackdaw fjord gymnast"  # only beyond the first 4,000 characters of long documents
+    long = [" ".join([*(word() for _ in range(500)), *[phrase] * 200]) for i in range(30)]
+    docs = spark.createDataFrame([(t, "xx") for t in rest + long], "text string, lang string")
+    nothing = spark.createDataFrame([], "content string, dcs int")
+    for size in ({}, {"part_bytes": 1 << 17}):
+        got = train_dictionaries(nothing, docs, **size)
+        assert list(got) == ["Latin:xx"] and len(got["Latin:xx"]) <= garbled.DICTIONARY_BYTES
+        assert any(w.encode() in got["Latin:xx"] for w in phrase.split()), size
+    assert got == train_dictionaries(nothing, docs.repartition(7), **size)
+    with pytest.raises(ValueError):
+        train_dictionaries(nothing, docs, part_bytes=100)
+
+
+def test_all_texts_reach_the_training(spark, monkeypatch):
+    """More different messages and documents than earlier samples held: each is in one part, once."""
+    from tidemark.llm import garbled
+
+    docs = [(f"document number {i} of the year", "en") for i in range(4_500)] * 2
+    messages = [(f"message number {i} of the day".encode("utf-16-be").hex(), 8) for i in range(31_000)] + [(b"copy".hex(), 1)] * 500
+    seen = []
+    trained = garbled._trained
+    monkeypatch.setattr(garbled, "_trained", lambda texts, size: seen.append(texts) or trained(texts, size))
+    garbled.train_dictionaries(spark.createDataFrame(messages, "content string, dcs int"), spark.createDataFrame(docs, "text string, lang string"))
+    assert [t.count() for t in seen] == [4_500, 4_500 + 31_001]
+    assert seen[1].distinct().count() == 4_500 + 31_001

@@ -9,16 +9,20 @@ from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.payload import LOST, decode_text, gsm_text, one_line, read_header, unpack_septets, whole_bytes
 from tidemark.llm.repetition import script_of
+from tidemark.runtime import broadcast_if_small, materialize
 
-SAMPLE = 30_000  # messages and documents, each, from which the dictionaries are trained, at most
-TRAIN_CHARS = 4_000  # characters a text may have that a dictionary is trained on
-PER_LANGUAGE = 4_000  # messages and documents, each, that a dictionary is trained on, at most
+PART_BYTES = 16 << 20  # bytes of text that are trained on at once, about
+TRAIN_CHARS = 4_000  # characters of a training sample; longer texts are several
+MERGE_BYTES = 256  # bytes of a training sample where dictionaries are merged
+LEAST_TEXTS = 8  # texts that a dictionary needs
 DICTIONARY_BYTES = 16_384
+#: What ends the entropy tables of a trained dictionary: its repeat offsets. Sound texts have no such bytes.
+OFFSETS = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])
 LEVEL = 3
 
 #: Bytes a chain of readings costs beside its text: per step, and per code point that is no text.
@@ -31,6 +35,7 @@ CODECS = ("utf-8", "cp1252", "utf-16-be", "utf-16-le", "cp1251", "iso8859-7", "k
 _DOUBLED = re.compile("[Â-ô][\u0080-ÿŒœŠšŸŽžƒˆ˜–—‘-‚“-„†-•…‰‹›€™]+")
 _HIGH = re.compile("[^\x00-\x7f]+")
 _LATIN_RUN = re.compile("[À-ÿ]{4}")
+_BEYOND_LATIN = re.compile("[\u0370-\U0010ffff]")
 
 
 @lru_cache(maxsize=1)
@@ -79,11 +84,16 @@ def _odd(c: str) -> bool:
     return c == LOST or (unicodedata.category(c) in ("Cc", "Cn", "Co", "Cs") and c not in "\n\r\t\x0c")
 
 
+def _clean(text: str) -> bool:
+    """Whether no code point is odd; of what is odd only U+FFFD is printable."""
+    return LOST not in text and (text.isprintable() or not any(map(_odd, set(text))))
+
+
 def family(text: str) -> str:
     """The script whose dictionaries suit a text: one other than Latin that has at least a seventh of its letters, else Latin."""
-    if text.isascii():
+    if not _BEYOND_LATIN.search(text):
         return "Latin"
-    other = "".join(c for c in text if c >= "\u0370")
+    other = "".join(_BEYOND_LATIN.findall(text))
     script = script_of(other)
     return script if script and 7 * sum(map(str.isalpha, other)) >= sum(map(str.isalpha, text)) else "Latin"
 
@@ -114,7 +124,7 @@ class Describer:
 
     def cost(self, text: str, least: float = float("inf")) -> float:
         """The cost of ``text``; infinity if its code points that are no text alone cost ``least``."""
-        odd = 0 if text.isascii() and text.isprintable() else ODD_COST * sum(map(_odd, text))
+        odd = 0 if _clean(text) else ODD_COST * sum(map(_odd, text))
         if odd >= least:
             return float("inf")
         raw = text.encode("utf-8", "surrogatepass")
@@ -189,38 +199,105 @@ def diagnose(payload: bytes, declared: str | None, describe: Describer) -> tuple
     return best_chain, best
 
 
-def train_dictionaries(messages: DataFrame, documents: DataFrame, *, source: str = "SMPP", sample: int = SAMPLE) -> dict[str, bytes]:
-    """zstandard dictionaries by ``script:language`` from bounded samples of sound texts.
+def train_dictionaries(messages: DataFrame, documents: DataFrame, *, source: str = "SMPP", part_bytes: int = PART_BYTES) -> dict[str, bytes]:
+    """zstandard dictionaries by ``script:language`` from all sound texts, each different one counted once.
 
     ``messages`` has ``content`` (hex) and ``dcs``; ``documents`` has ``text,
-    lang``. At most ``sample`` different texts of each, of up to ``TRAIN_CHARS``
-    characters, reach the driver, chosen by hash. A message trains the
-    dictionary of the language whose documents describe it in the fewest bytes.
-    Texts with lost, control or private characters,
-    or which contain doubled UTF-8, train nothing; Chinese ones train only if
-    their characters are in everyday use (GB 2312).
+    lang``. A message trains the dictionary of the language whose documents
+    describe it in the fewest bytes. Texts with lost, control or private
+    characters, or which contain doubled UTF-8, train nothing; Chinese ones
+    train only if their characters are in everyday use (GB 2312). Languages of
+    fewer than ``LEAST_TEXTS`` texts have no dictionary.
+
+    Whole texts of any number and length: what a language has beyond
+    ``part_bytes`` is trained in parts, whose dictionaries are merged
+    (:func:`_trained`). Only finished dictionaries reach the driver.
     """
-    contents = _sampled(messages.where("content IS NOT NULL AND content <> ''").where(F.length("content") <= 4 * TRAIN_CHARS).select("content", "dcs"), "content", sample)
-    labelled = _sampled(documents.where("text IS NOT NULL AND text <> ''").where(F.length("text") <= TRAIN_CHARS).select("text", "lang"), "text", sample)
-    texts: dict[str, list[bytes]] = {}
-    for r in labelled:
-        if script := _sound(r["text"]):
-            texts.setdefault(f"{script}:{(r['lang'] or '').strip().lower()}", []).append(r["text"].encode())
-    spoken = {name: Describer({name: _train(group[:PER_LANGUAGE])}) for name, group in texts.items() if len(group) >= 8}
-    written: dict[str, list[bytes]] = {}
-    for r in contents:
-        text = _declared(r["content"], r["dcs"], source)
-        if script := _sound(text):
-            near = [name for name in sorted(spoken) if name.startswith(f"{script}:")]
-            name = min(near, key=lambda x: spoken[x].cost(text)) if near else f"{script}:"
-            written.setdefault(name, []).append(text.encode())
-    both = {name: written.get(name, [])[:PER_LANGUAGE] + texts.get(name, [])[:PER_LANGUAGE] for name in {*written, *texts}}
-    return {name: _train(group) for name, group in sorted(both.items()) if len(group) >= 8}
+    if part_bytes < 4 * DICTIONARY_BYTES:
+        raise ValueError(f"part_bytes must be at least {4 * DICTIONARY_BYTES}")
+    labelled = materialize(documents.where("text <> ''").select("text", "lang").mapInArrow(_by_label, "name string, text string").distinct(), "labelled")
+    spoken = _trained(labelled, part_bytes)
+
+    def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict[str, list[str]] = {}
+        for name in sorted(spoken):  # the order of the describer's compressors
+            names.setdefault(name.split(":")[0], []).append(name)
+        compressors = Describer(spoken).by_script
+        for b in batches:
+            out = []
+            for script, text in zip(b.column("script").to_pylist(), b.column("text").to_pylist()):
+                raw = text.encode()
+                sizes = [len(c.compress(raw)) for c in compressors.get(script, ())]
+                out.append(names[script][sizes.index(min(sizes))] if sizes else f"{script}:")
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), b.column("text")], names=["name", "text"])
+
+    def declared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [_declared(c, d, source) for c, d in zip(b.column("content").to_pylist(), b.column("dcs").to_pylist())]
+            scripts = list(map(_sound, texts))
+            sound = [t for t, script in zip(texts, scripts) if script]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x in scripts if x], pa.string()), pa.array(sound, pa.string())], names=["script", "text"])
+
+    different = messages.where("content <> ''").select("content", "dcs").mapInArrow(declared, "script string, text string").distinct()
+    written = materialize(different.mapInArrow(by_language, "name string, text string"), "written")
+    return _trained(written.unionAll(labelled), part_bytes)
+
+
+def _by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``name, text`` of the documents that may train a dictionary."""
+    for b in batches:
+        out = [(f"{script}:{(lang or '').strip().lower()}", text) for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()) if (script := _sound(text))]
+        names, texts = zip(*out) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["name", "text"])
+
+
+def _trained(texts: DataFrame, part_bytes: int) -> dict[str, bytes]:
+    """A dictionary for each name of ``name, text``, trained on all of its texts.
+
+    A name's texts are split by hash into parts of about ``part_bytes``, so
+    that each is like the whole. The parts' dictionaries, cut in pieces, are
+    the texts of the next round, until there is one for each name. The names'
+    bytes lie one after the other; a task takes what starts in its stretch of
+    ``part_bytes``, hence at most about twice that.
+    """
+    sizes = texts.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).where(F.col("n") >= LEAST_TEXTS)
+    before = F.coalesce(F.sum("bytes").over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a name
+    while True:
+        parts = materialize(sizes.select("name", F.ceil(F.col("bytes") / part_bytes).alias("parts"), F.floor(before / part_bytes).alias("first")), "parts")
+        most, tasks = parts.agg(F.max("parts"), F.max(F.col("first") + F.col("parts"))).first()
+        if most is None:
+            return {}
+        hashed = texts.join(broadcast_if_small(parts), "name").withColumn("hash", F.xxhash64("text"))
+        task = (F.col("first") + F.pmod("hash", "parts")).cast("int")
+        trained = hashed.repartitionById(tasks, task).select("name", "hash", "text").mapInArrow(_train_parts, "name string, text binary")
+        if most == 1:
+            return {r["name"]: bytes(r["text"]) for r in trained.collect()}
+        texts = materialize(trained, "dictionaries")
+        sizes = texts.groupBy("name").agg(F.sum(F.octet_length("text")).alias("bytes"))
+
+
+def _train_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The dictionary of each name's texts in a task, or of its dictionaries (binary); a single dictionary stays as it is."""
+    if not (held := list(batches)):
+        return
+    groups: dict[str, list] = {}
+    table = pa.Table.from_batches(held).sort_by([("name", "ascending"), ("hash", "ascending"), ("text", "ascending")])
+    for name, text in zip(table.column("name").to_pylist(), table.column("text").to_pylist()):
+        groups.setdefault(name, []).append(text)
+    for name, texts in groups.items():
+        if isinstance(texts[0], str):
+            raw = _train([t[i : i + TRAIN_CHARS].encode() for t in texts for i in range(0, len(t), TRAIN_CHARS)])
+        elif len(texts) == 1:
+            raw = texts[0]
+        else:
+            contents = [t[t.find(OFFSETS) + len(OFFSETS) :] if OFFSETS in t else t for t in texts]
+            raw = _train([t[i : i + MERGE_BYTES] for t in contents for i in range(0, len(t), MERGE_BYTES)])
+        yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([raw], pa.binary())], names=["name", "text"])
 
 
 def _sound(text: str | None) -> str | None:
     """The script of a text that may train a dictionary, else None."""
-    if not text or any(map(_odd, text)) or undouble(text) != text or _LATIN_RUN.search(text):
+    if not text or not _clean(text) or undouble(text) != text or _LATIN_RUN.search(text):
         return None
     script = family(text)
     if script == "Han":
@@ -231,13 +308,6 @@ def _sound(text: str | None) -> str | None:
     return script
 
 
-def _sampled(df: DataFrame, by: str, most: int) -> list:
-    """About ``most`` rows, and never more, chosen by the hash of ``by``; few enough for the driver whatever the input."""
-    rows = df.count()
-    share = min(1.0, 0.97 * most / max(rows, 1))
-    return df.where(F.pmod(F.xxhash64(by), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).dropDuplicates([by]).limit(most).collect()
-
-
 def _body(content: str | None) -> bytes:
     """The payload without its header; empty for contents that are no whole hex bytes."""
     payload = whole_bytes(content) or b""
@@ -251,7 +321,7 @@ def _declared(content: str | None, dcs: int | None, source: str) -> str | None:
 
 def _train(samples: list[bytes]) -> bytes:
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, split_point=1.0).as_bytes()  # else a quarter is only tested on
     except zstandard.ZstdError:  # too little text to train on: the text itself
         return b"\n".join(samples)[-DICTIONARY_BYTES:]
 
