@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +169,25 @@ def test_joint_frame(spark):
     assert models.clustering_places(names, "content") == [0, 1] and len(models.clustering_places(names)) == 6
     with pytest.raises(ValueError, match="mode"):
         models.clustering_places(names, "some")
+
+
+def test_dominance_of_repeated_values(spark):
+    from tidemark.operators.evaluation import dominance
+
+    rows = spark.range(60_000).select("id", (F.xxhash64("id") % 900).cast("double").alias("a"), F.when(F.col("id") % 10 == 0, 5.0).otherwise(F.col("id") % 2).alias("b"))
+    columns = ["a", "b"]
+    for seed in range(4):  # by their values, three different rows of b are all drawn or none
+        for key in ("id", None):
+            x = forest.draw_rows(rows, ["b"], 512, seed=seed, key=key)
+            assert len(x) == 512 and abs((x == 5.0).mean() - 0.1) < 0.06
+    for key in ("id", None):
+        got = {r["left_out"]: r["rho"] for r in dominance(rows, {"one": ["a"], "two": ["b"]}, trees=2, key=key).collect()}
+        x = forest.draw_rows(rows, columns, 512, key=key)
+        at = rows.toPandas()[columns].to_numpy()
+        full = forest.grow_forest(x, columns, trees=2, rows=256, seed=0).score(at)
+        for name, c in (("one", 1), ("two", 0)):
+            part = forest.grow_forest(x[:, [c]], [columns[c]], trees=2, rows=256, seed=0).score(at[:, [c]])
+            assert got[name] == pytest.approx(np.corrcoef(pd.Series(full).rank(), pd.Series(part).rank())[0, 1])
+    assert dominance(rows, {"all": columns}, trees=2, key="id").first()["rho"] is None
+    with pytest.raises(ValueError, match="nothing"):
+        dominance(rows.where("id < 0"), {"one": ["a"], "two": ["b"]}, trees=2)

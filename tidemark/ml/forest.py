@@ -32,14 +32,18 @@ class Tree:
     mean: np.ndarray  # of the rows it was grown on that pass here, at the end of their paths
 
     def paths(self, x: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(x), np.int64)
-        going = np.flatnonzero(self.column[at] >= 0)
-        while len(going):
-            node = at[going]
-            down = x[going, self.column[node]] < self.cut[node]
-            at[going] = np.where(down, self.left[node], self.right[node])
-            going = going[self.column[at[going]] >= 0]
-        return self.depth[at]
+        n, width = x.shape
+        if not width:
+            return np.full(n, self.depth[0])
+        flat, base = x.ravel(), np.arange(n) * width
+        leaf, me = self.column < 0, np.arange(len(self.column))
+        column = np.where(leaf, 0, self.column)
+        child = np.column_stack([np.where(leaf, me, self.right), np.where(leaf, me, self.left)]).ravel()  # a leaf leads to itself
+        at, before = np.zeros(n, np.int64), None
+        while before is None or not np.array_equal(at, before):
+            before, down = at, flat.take(base + column.take(at)) < self.cut.take(at)
+            at = child.take(2 * at + down)
+        return self.depth.take(at)
 
     def credit(self, x: np.ndarray, out: np.ndarray) -> None:
         """Add to ``out`` (rows, columns) by how much each cut on a row's path changes the mean below it."""
@@ -93,18 +97,38 @@ class IsolationForest:
     medians: np.ndarray  # of the rows it was fitted on
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Higher is stranger: 2**(-mean path / expected path) - 0.5."""
+        """Higher is stranger: 2**(-mean path / expected path) - 0.5. Rows that repeat much are scored once."""
+        different, place = np.unique(x, axis=0, return_inverse=True) if x.shape[1] and len(x) else (x, None)
+        if 2 * len(different) <= len(x):
+            return self.score(different)[place.ravel()] if len(x) else np.zeros(0)
         mean = sum(t.paths(x) for t in self.trees) / len(self.trees)
         return 2.0 ** (-mean / float(expected_path(np.array([max(self.rows, 2)]))[0])) - 0.5
 
 
 def fit_isolation_forest(df: DataFrame, columns: list[str], *, trees: int = 100, rows: int = 256, seed: int = 0, key: str | None = None) -> IsolationForest:
-    """Each tree sees at most ``rows`` rows; ``trees * rows`` rows at most reach the driver, the first by hash of ``key`` (or of the columns, where there is no key). Nulls count as 0."""
+    """Each tree sees at most ``rows`` rows; ``trees * rows`` rows at most reach the driver (see ``draw_rows``)."""
+    return grow_forest(draw_rows(df, columns, trees * rows, seed=seed, key=key), columns, trees=trees, rows=rows, seed=seed)
+
+
+def draw_rows(df: DataFrame, columns: list[str], need: int, *, seed: int = 0, key: str | None = None) -> np.ndarray:
+    """At most ``need`` rows of ``columns``, the first by hash of ``key``, which should be unique; nulls count as 0.
+
+    Without a key rows are counted first, and equal ones drawn by their number
+    each: by their values alone they would all be drawn, or none.
+    """
     n = df.count()
-    need = trees * rows
-    draw = F.pmod(F.xxhash64(F.lit(seed), *([key] if key else columns)), F.lit(1 << 30))
-    picked = df.where(draw <= int(min(1.0, 1.1 * need / max(n, 1)) * (1 << 30))).orderBy(draw, *columns) if n > need else df
-    x = picked.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]).limit(need).toPandas().to_numpy(dtype=np.float64)
+    by = [key] if key else [*columns, "_many", "_one"]
+    if n > need and not key:
+        last = F.least(F.lit(65_535), F.col("_n") - 1 - F.col("_many") * 65_536)
+        counts = df.groupBy(*dict.fromkeys(columns)).agg(F.count(F.lit(1)).alias("_n"))
+        df = counts.withColumn("_many", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / 65_536)))).withColumn("_one", F.explode(F.sequence(F.lit(0), last)))
+    draw = F.pmod(F.xxhash64(F.lit(seed), *by), F.lit(1 << 30))
+    picked = df.where(draw <= int(min(1.0, (1.1 * need + 100) / max(n, 1)) * (1 << 30))).orderBy(draw, *columns) if n > need else df
+    return picked.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]).limit(need).toPandas().to_numpy(dtype=np.float64)
+
+
+def grow_forest(x: np.ndarray, columns: list[str], *, trees: int, rows: int, seed: int) -> IsolationForest:
+    """A forest on rows in memory."""
     if not len(x):
         raise ValueError("nothing to fit on")
     rng = np.random.default_rng(seed)
@@ -114,14 +138,20 @@ def fit_isolation_forest(df: DataFrame, columns: list[str], *, trees: int = 100,
 
 def score_isolation_forest(df: DataFrame, model: IsolationForest, out: str = "anomaly_score") -> DataFrame:
     """``df`` with its anomaly scores; one narrow pass, the model (some 100 KB) travels with the tasks."""
-    schema = df.drop(out).schema.add(out, "double")
+    return score_isolation_forests(df, {out: model})
+
+
+def score_isolation_forests(df: DataFrame, models: dict[str, IsolationForest]) -> DataFrame:
+    """The same for several forests in one pass, each with a column of its name."""
+    schema = df.drop(*models).schema
+    for out in models:
+        schema = schema.add(out, "double")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = b[model.columns].astype(float).fillna(0.0).to_numpy()
-            yield b.assign(**{out: model.score(x) if len(b) else []})
+            yield b.assign(**{out: m.score(b[m.columns].astype(float).fillna(0.0).to_numpy()) if len(b) else [] for out, m in models.items()})
 
-    return df.drop(out).mapInPandas(run, schema)
+    return df.drop(*models).mapInPandas(run, schema)
 
 
 def attribute(df: DataFrame, model: IsolationForest, key: str) -> DataFrame:

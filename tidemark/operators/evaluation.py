@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import average_precision, prefix_sums, spearman
-from tidemark.runtime import broadcast_if_small
+from tidemark.runtime import broadcast_if_small, materialize
 
 
 def plausibility(scored: DataFrame) -> DataFrame:
@@ -77,19 +77,32 @@ def split_is_justified(shared: dict[str, float], separate: dict[str, float], gap
     return {s: separate[s] - shared[s] >= gap for s in sorted(set(shared) & set(separate))}
 
 
-def dominance(df: DataFrame, groups: dict[str, list[str]], *, trees: int = 50, seed: int = 0) -> DataFrame:
-    """``left_out, rho``: rank correlation of anomaly scores with and without a group of columns; low means it dominates."""
-    from tidemark.ml.forest import fit_isolation_forest, score_isolation_forest
+def dominance(df: DataFrame, groups: dict[str, list[str]], *, trees: int = 50, seed: int = 0, key: str | None = None) -> DataFrame:
+    """``left_out, rho``: rank correlation of anomaly scores with and without a group of columns; low means it dominates.
 
-    everything = [c for g in groups.values() for c in g]
-    base = score_isolation_forest(df, fit_isolation_forest(df, everything, trees=trees, seed=seed), "full")
-    out = None
-    for name in groups:
-        rest = [c for k, g in groups.items() if k != name for c in g]
-        both = score_isolation_forest(base, fit_isolation_forest(df, rest, trees=trees, seed=seed), "part")
-        one = spearman(both, "full", "part").select(F.lit(name).alias("left_out"), "rho")
-        out = one if out is None else out.unionByName(one)
-    return out
+    All forests are grown on the same rows, drawn by hash of ``key`` (see
+    ``draw_rows``). Rows with equal values are counted and scored once, by all
+    forests in one pass; every score is ranked once.
+    """
+    from tidemark.ml.forest import draw_rows, grow_forest, score_isolation_forests
+
+    of, everything = zip(*[(name, c) for name, g in groups.items() for c in g])
+    drawn = draw_rows(df, list(everything), trees * 256, seed=seed, key=key)
+    rests = [[i for i, g in enumerate(of) if g != name] for name in groups]
+    models = {f"_s{j}": grow_forest(drawn[:, at], [everything[i] for i in at], trees=trees, rows=256, seed=seed) for j, at in enumerate([list(range(len(everything))), *rests])}
+    cells = df.groupBy(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in dict.fromkeys(everything)]).agg(F.count(F.lit(1)).alias("_k"))
+    scored = materialize(score_isolation_forests(cells, models).select("_k", *models), "scores")
+    ranked = scored
+    for s in models:
+        counts = scored.groupBy(s).agg(F.sum("_k").alias("_c"))
+        ranks = prefix_sums(counts, [s], {"_u": "_c"}).select(s, (F.col("_u") - (F.col("_c") - 1) / 2).alias(f"_r{s}"))
+        ranked = ranked.join(broadcast_if_small(ranks), s)
+    k, n = F.col("_k"), F.sum("_k")
+    cov = lambda a, b: F.sum(k * F.col(f"_r{a}") * F.col(f"_r{b}")) / n - F.sum(k * F.col(f"_r{a}")) / n * (F.sum(k * F.col(f"_r{b}")) / n)
+    full, *parts = models
+    rho = lambda p: F.when((cov(full, full) > 0) & (cov(p, p) > 0), cov(full, p) / F.sqrt(cov(full, full) * cov(p, p)))
+    each = F.array(*[F.struct(F.lit(name).alias("left_out"), rho(p).alias("rho")) for name, p in zip(groups, parts)])
+    return ranked.agg(each.alias("_e")).select(F.explode("_e").alias("_e")).select("_e.*")
 
 
 def by_source(scored: DataFrame, source: str) -> DataFrame:

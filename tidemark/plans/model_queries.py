@@ -222,7 +222,7 @@ def dominance_ablation(spark: SparkSession, base: str) -> DataFrame:
     """How far anomaly scores follow each group of columns."""
     from tidemark.operators.evaluation import dominance
 
-    return dominance(lines(spark, base), {"size": COLUMNS[:2], "rates": COLUMNS[2:]}).select("left_out", F.round("rho", 4).alias("rho"))
+    return dominance(lines(spark, base), {"size": COLUMNS[:2], "rates": COLUMNS[2:]}, key="id").select("left_out", F.round("rho", 4).alias("rho"))
 
 
 @REGISTRY.add("permutation_importance")
