@@ -191,3 +191,36 @@ def test_dominance_of_repeated_values(spark):
     assert dominance(rows, {"all": columns}, trees=2, key="id").first()["rho"] is None
     with pytest.raises(ValueError, match="nothing"):
         dominance(rows.where("id < 0"), {"one": ["a"], "two": ["b"]}, trees=2)
+
+
+def test_joint_frame_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b.assign(vector=[[float(i % 3), float(i % 5), 1.0] for i in b["id"]])
+
+    rows = spark.range(100).withColumn("n", F.col("id") % 7).withColumn("source", F.lit("SS7")).mapInPandas(run, "id long, n long, source string, vector array<double>")
+    joint, _, names = models.joint_frame(rows, "vector", ["n"], "source", k=2)
+    assert joint.count() == 100 and len(joint.collect()[0]["features"]) == len(names) == 4 and seen.value == 100
+
+
+def test_hashed_vectors_one_by_one():
+    import xxhash
+
+    from tidemark.ml.encoder import hash_vectors
+
+    def one(text, dim):
+        padded, v = f" {text.lower()} ", np.zeros(dim)
+        for n in (3, 4, 5):
+            for i in range(len(padded) - n + 1):
+                h = xxhash.xxh64_intdigest(padded[i : i + n])
+                v[h % dim] += 1.0 if h >> 63 else -1.0
+        norm = np.linalg.norm(v)
+        return (v / norm if norm else v).astype(np.float32)
+
+    texts = ["", "a", "Free spin", "é", "\U0001f600\U0001f601\U0001f602\U0001f603\U0001f604x", "İI\0z", "紧急立即马上最后机会", "அவசரம் உடனடியாக", "x" * 5000, " \n\t "]
+    for dim in (64, 384):
+        assert np.array_equal(hash_vectors(texts, dim), [one(t, dim) for t in texts])
+    assert hash_vectors([], 64).shape == (0, 64)

@@ -113,3 +113,13 @@ def test_a_busy_day_is_spread(spark):
     df = spark.range(500_000).select(F.col("id").alias("seq"), F.lit("a").alias("s"), (F.lit(20_000 * w.DAY) + F.col("id") * (w.DAY // 500_000)).alias("at"))
     slabs = w.with_halo(df, "at", H, entity="s").groupBy("_slab").agg(F.count(F.lit(1)).alias("n"), F.count_if("_own").alias("own")).collect()
     assert len(slabs) == 25 and max(r["n"] for r in slabs) < 42_000 and sum(r["own"] for r in slabs) == 500_000
+
+
+def test_sender_repeats_as_in_all_features(spark):
+    rows = [(i, [None, "a", "b"][i % 3], f"d{i % 4}", [None, "", "x", "y"][i % 4 if i % 5 else 2], None if i % 11 == 0 else 7 * w.MINUTE * (i // 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "seq int, sender string, destination string, text string, at long")
+    for hot in (w.HOT_ROWS, 5):
+        whole = w.sender_window_features(df, hot_rows=hot).select("seq", "msgs_long", "repeat_ratio")
+        part = w.sender_repeats(df, hot_rows=hot)
+        assert part.columns == whole.columns and part.count() == whole.count() == sum(r[4] is not None for r in rows)
+        assert part.exceptAll(whole).count() == 0 and part.where("repeat_ratio > 0").count() > 0

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import prefix_sums
+from tidemark.runtime import materialize
 
 
 def reduce_vectors(df: DataFrame, columns: list[str], k: int, out: str = "reduced") -> tuple[DataFrame, PipelineModel]:
@@ -30,8 +31,10 @@ def joint_frame(df: DataFrame, vector: str, numbers: list[str], source: str, *,
     first ``k`` principal components; ``numbers`` (behaviour and flags; null is
     0) and ``is_<source>`` follow, and everything is scaled to mean 0 and
     deviation 1 (a constant column to 0). Adds ``out`` as an array; the names of its places are
-    returned, the reduced ones first (``reduced_0`` ...).
+    returned, the reduced ones first (``reduced_0`` ...). ``df`` is computed once and written, since
+    fitting passes over it several times.
     """
+    df = materialize(df, "joint")
     names = sorted(r[0] for r in df.select(source).distinct().limit(100).collect() if r[0] is not None)
     ready = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>"))).withColumns({f"is_{n}": F.coalesce((F.col(source) == n).cast("double"), F.lit(0.0)) for n in names} | {f"_n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numbers})
     stages = [StandardScaler(inputCol="_v", outputCol="_z", withMean=True), PCA(k=k, inputCol="_z", outputCol="_p"), VectorAssembler(inputCols=["_p", *[f"_n_{c}" for c in numbers], *[f"is_{n}" for n in names]], outputCol="_all"), StandardScaler(inputCol="_all", outputCol="_f", withMean=True)]

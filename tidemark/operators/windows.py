@@ -113,18 +113,33 @@ def sender_window_features(messages: DataFrame, *, very_short: int = MINUTE, sho
     """
     clean = messages.where(F.col("at").isNotNull()).withColumn("_s", F.coalesce("sender", F.lit("<NA>"))).withColumn("_d", F.coalesce("destination", F.lit("<NA>"))).withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
     clean = materialize(clean, "messages")  # read for its windows, for what leaves them, for its totals
-    keys = ["_s", "_slab"]
-    counted = with_halo(clean, "at", long, entity="_s", hot_rows=hot_rows).withColumns({name: prior_count(keys, "at", "seq", width) for name, width in (("msgs_very_short", very_short), ("msgs_short", short), ("msgs_long", long))})
-    counted = counted.withColumn("_same", prior_count([*keys, "_t"], "at", "seq", long))
-    seen = prior_distinct(counted, keys, "at", "seq", "_d", {"dests_short": short, "dests_long": long}).where("_own")
-    ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
-    seen = seen.withColumns({"repeat_ratio": ratio("_same", "msgs_long"), "diversity_short": ratio("dests_short", "msgs_short"), "diversity_long": ratio("dests_long", "msgs_long")})
+    counted = _counted(clean, {"msgs_very_short": very_short, "msgs_short": short, "msgs_long": long}, long, hot_rows)
+    seen = prior_distinct(counted, ["_s", "_slab"], "at", "seq", "_d", {"dests_short": short, "dests_long": long}).where("_own")
+    seen = seen.withColumns({"repeat_ratio": _ratio("_same", "msgs_long"), "diversity_short": _ratio("dests_short", "msgs_short"), "diversity_long": _ratio("dests_long", "msgs_long")})
     scored = expanding_z(seen, "_s", "_slab", "at", "seq", "msgs_short", "velocity_z")
     first = clean.groupBy("_s").agg(F.min("at").alias("_first"))
     aged = scored.join(first, "_s").withColumn("age_days", (F.col("at") - F.col("_first")) / F.lit(float(DAY)))
     return aged.drop("_s", "_d", "_t", "_slab", "_own", "_same", "_first")
 
 
+def sender_repeats(messages: DataFrame, *, long: int = HOUR, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``seq, msgs_long, repeat_ratio`` as in ``sender_window_features``, for who needs no more: no destinations, no history."""
+    clean = messages.where(F.col("at").isNotNull()).select("seq", "at", F.coalesce("sender", F.lit("<NA>")).alias("_s"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"))
+    counted = _counted(materialize(clean, "messages"), {"msgs_long": long}, long, hot_rows)
+    return counted.where("_own").select("seq", "msgs_long", _ratio("_same", "msgs_long").alias("repeat_ratio"))
+
+
+def _counted(clean: DataFrame, widths: dict[str, int], long: int, hot_rows: int) -> DataFrame:
+    """Slabs with a halo, the earlier messages in reach of each width and, as ``_same``, those of the same text in the ``long`` one."""
+    keys = ["_s", "_slab"]
+    counted = with_halo(clean, "at", long, entity="_s", hot_rows=hot_rows).withColumns({name: prior_count(keys, "at", "seq", width) for name, width in widths.items()})
+    return counted.withColumn("_same", prior_count([*keys, "_t"], "at", "seq", long))
+
+
+def _ratio(a: str, b: str) -> Column:
+    return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
+
+
 def expanding_z(df: DataFrame, entity: str, slab: str, at: str, seq: str, value: str, out: str, floor: float = 1e-9) -> DataFrame:
     """``value`` against all earlier values of the entity, which must be whole numbers.
 

@@ -95,13 +95,15 @@ def joint_frame(spark: SparkSession, base: str) -> DataFrame:
     """Text vectors reduced to eight numbers, sender windows, length, flags and sources of every message, scaled together."""
     from tidemark.functions.content import flags
     from tidemark.ml.encoder import encode_distinct
+    from tidemark.runtime import materialize
     from tidemark.sources.tables import messages
 
-    m = messages(spark, base, "text", "source").withColumns(flags(F.col("text"))).withColumn("chars", F.length(F.coalesce("text", F.lit(""))))
-    seen = w.sender_window_features(frame(spark, base)).select(F.col("seq").alias("record_id"), "msgs_long", "repeat_ratio")
-    known = encode_distinct(m.join(seen, "record_id", "left"), dim=64)
-    numbers = ["msgs_long", "repeat_ratio", "chars", *flags(F.col("text"))]
-    joint, _, names = md.joint_frame(known, "vector", numbers, "source")
+    m = materialize(messages(spark, base, "sender_id", "text", "timestamp", "source"), "messages")
+    seen = w.sender_repeats(m.select(F.col("record_id").alias("seq"), F.col("sender_id").alias("sender"), "text", w.micros(F.col("timestamp")).alias("at"))).withColumnRenamed("seq", "record_id")
+    known = encode_distinct(m.select("record_id", "text", "source").join(seen, "record_id", "left"), dim=64)
+    read = {"chars": F.length(F.coalesce("text", F.lit("")))} | flags(F.col("text"))
+    numbers = ["msgs_long", "repeat_ratio", *read]
+    joint, _, names = md.joint_frame(known.withColumns(read).select("record_id", "vector", "source", *numbers), "vector", numbers, "source")
     at = lambda name: F.round(F.col("features")[names.index(name)], 6)
     return joint.select("record_id", F.size("features").alias("places"), at("chars").alias("chars"), at("is_SMPP").alias("is_smpp"))
 
